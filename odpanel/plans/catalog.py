@@ -183,3 +183,125 @@ def q_shock_flag(spark, d):
 @query("shock_counts")
 def q_shock_counts(spark, d):
     return index.shock_counts(index.shock_flag(clean(spark, d, "cost")))
+
+
+# ---- profiling -------------------------------------------------------------------
+from odpanel.operators import profile, quality  # noqa: E402
+
+FREQ_COLUMNS = [("corridors", "metric"), ("regional", "displacement_type"),
+                ("cargo", "cargo_class"), ("price_index", "distance_band"),
+                ("distance_bands", "distance_band")]
+DISTINCT_COLUMNS = {
+    "corridors": ["year", "origin_region", "destination_region", "metric"],
+    "regional": ["region", "displacement_type", "metric"],
+    "cargo": ["cargo_class", "direction", "region"],
+    "price_index": ["year", "quarter", "distance_band"],
+    "distance_bands": ["distance_band", "service_type", "metric"],
+    "cost": ["period", "vehicle_type"],
+}
+NUMERIC_COLUMNS = {
+    "corridors": ["value"], "regional": ["value"], "cargo": ["value"],
+    "price_index": ["price_index"], "distance_bands": ["value"],
+    "cost": ["fuel_price_per_litre", "personal_conduccion_eur", "dietas_conductor_eur",
+             "seguros_eur", "costes_fiscales_eur", "combustible_eur"],
+}
+STATS_COLUMNS = [("cost", "fuel_price_per_litre"), ("cost", "combustible_eur"),
+                 ("cost", "personal_conduccion_eur"), ("cost", "peajes_eur"),
+                 ("price_index", "price_index"), ("corridors", "value")]
+
+
+def _stats_source(spark, d, dataset):
+    df = clean(spark, d, dataset)
+    if dataset == "corridors":
+        df = df.where(F.col("metric") == flows.OPS_TOTAL)
+    return df
+
+
+@query("value_counts")
+def q_value_counts(spark, d):
+    return profile.union_all(
+        profile.labelled(ds, profile.value_counts(raw(spark, d, ds), c)
+                         .select(F.lit(c).alias("column_name"), "value", "count"))
+        for ds, c in FREQ_COLUMNS)
+
+
+@query("year_counts")
+def q_year_counts(spark, d):
+    return profile.year_counts(raw(spark, d, "cost"), "period")
+
+
+@query("distinct_values")
+def q_distinct_values(spark, d):
+    return profile.union_all(profile.labelled(ds, profile.distinct_values(raw(spark, d, ds), cols))
+                             for ds, cols in DISTINCT_COLUMNS.items())
+
+
+@query("profile_nulls")
+def q_profile_nulls(spark, d):
+    return profile.union_all(profile.labelled(ds, profile.profile_nulls(raw(spark, d, ds)))
+                             for ds in panels.RAW)
+
+
+@query("profile_distinct")
+def q_profile_distinct(spark, d):
+    return profile.union_all(profile.labelled(ds, profile.profile_distinct(raw(spark, d, ds)))
+                             for ds in ("corridors", "regional", "cargo"))
+
+
+@query("profile_numeric")
+def q_profile_numeric(spark, d):
+    return profile.union_all(profile.labelled(ds, profile.profile_numeric(raw(spark, d, ds), cols))
+                             for ds, cols in NUMERIC_COLUMNS.items())
+
+
+@query("profile_summary")
+def q_profile_summary(spark, d):
+    return profile.union_all(profile.labelled(ds, profile.profile(raw(spark, d, ds)))
+                             for ds in panels.RAW)
+
+
+@query("stats_mmm")
+def q_stats_mmm(spark, d):
+    return profile.union_all(
+        profile.labelled(ds, profile.describe_column(_stats_source(spark, d, ds), c)
+                         .select(F.lit(c).alias("column_name"), "mean", "median", "mode"))
+        for ds, c in STATS_COLUMNS)
+
+
+@query("stats_stddev")
+def q_stats_stddev(spark, d):
+    return clean(spark, d, "cost").agg(F.stddev_samp("combustible_eur").alias("stddev")).select(
+        F.lit("cost").alias("dataset"), F.lit("combustible_eur").alias("column_name"), "stddev")
+
+
+@query("describe_table")
+def q_describe(spark, d):
+    return profile.describe_table(spark, clean(spark, d, "corridors"))
+
+
+# ---- data quality -----------------------------------------------------------------
+@query("dq_taxonomy")
+def q_dq_taxonomy(spark, d):
+    return quality.taxonomy_check(clean(spark, d, "cargo"), panels.CARGO_CLASSES)
+
+
+@query("dq_band_share")
+def q_dq_band_share(spark, d):
+    return quality.band_share(clean(spark, d, "distance_bands"))
+
+
+@query("dq_density")
+def q_dq_density(spark, d):
+    return quality.density(clean(spark, d, "corridors"), "corridors", "year", "metric").unionByName(
+        quality.density(clean(spark, d, "price_index"), "price_index", "year"))
+
+
+@query("dq_spot")
+def q_dq_spot(spark, d):
+    return quality.spot(clean(spark, d, "corridors"), year=2000, origin_region="NATION_1",
+                        destination_region="NATION_2", metric=flows.OPS_TOTAL)
+
+
+@query("dq_trend")
+def q_dq_trend(spark, d):
+    return quality.trend(clean(spark, d, "cost"), "fuel_price_per_litre")

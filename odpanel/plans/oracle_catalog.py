@@ -70,3 +70,119 @@ _add("sql_avg_index", "SELECT distance_band, round(avg(mpi), 2) AS avg_mpi FROM
 _add("shock_flag", "SELECT period, year, quarter, fuel_price_per_litre, fuel_shock FROM enriched",
      ["fuel_price_per_litre"])
 _add("shock_counts", "SELECT fuel_shock, count(*) AS count FROM enriched GROUP BY fuel_shock")
+
+# ---- profiling -------------------------------------------------------------------
+_RAW_COLS = {
+    "corridors": [("year", "num"), ("origin_region", "str"), ("destination_region", "str"),
+                  ("metric", "str"), ("value", "num")],
+    "regional": [("year", "num"), ("region", "str"), ("displacement_type", "str"),
+                 ("metric", "str"), ("value", "num")],
+    "cargo": [("year", "num"), ("region", "str"), ("direction", "str"), ("cargo_class", "str"),
+              ("metric", "str"), ("value", "num")],
+    "price_index": [("year", "num"), ("quarter", "str"), ("distance_band", "str"),
+                    ("price_index", "num")],
+    "distance_bands": [("year", "num"), ("distance_band", "str"), ("service_type", "str"),
+                       ("metric", "str"), ("value", "num")],
+    "cost": [("period", "date"), ("vehicle_type", "str")] + [
+        (c, "num") for c in ["km_anual", "pct_carga", "km_en_carga", "horas_anuales",
+                             "personal_conduccion_eur", "dietas_conductor_eur", "seguros_eur",
+                             "costes_fiscales_eur", "peajes_eur", "urea_eur",
+                             "costes_indirectos_eur", "vehicle_price_eur",
+                             "semitrailer_price_eur", "fuel_price_per_litre",
+                             "fuel_consumption_coeff", "interest_rate_pct", "combustible_eur"]],
+}
+
+
+def _blank(c, kind):
+    return (f"{c} IS NULL OR trim({c}) IN ('', '..')" if kind == "str" else f"{c} IS NULL")
+
+
+def _ndist(c):
+    return (f"count(DISTINCT {c}) + CASE WHEN count(*) FILTER (WHERE {c} IS NULL) > 0 "
+            f"THEN 1 ELSE 0 END")
+
+
+def _num(c, kind, fn):
+    return f"CAST({fn}({c}) AS DOUBLE)" if kind == "num" else "CAST(NULL AS DOUBLE)"
+
+
+_FREQ = [("corridors", "metric"), ("regional", "displacement_type"), ("cargo", "cargo_class"),
+         ("price_index", "distance_band"), ("distance_bands", "distance_band")]
+_add("value_counts", " UNION ALL ".join(
+    f"SELECT '{ds}' AS dataset, '{c}' AS column_name, {c} AS value, count(*) AS count "
+    f"FROM {ds}_raw GROUP BY {c}" for ds, c in _FREQ))
+_add("year_counts", "SELECT substr(CAST(period AS VARCHAR), 1, 4) AS year, count(*) AS count "
+     "FROM cost_raw GROUP BY 1 ORDER BY 1")
+_DIST = {
+    "corridors": ["year", "origin_region", "destination_region", "metric"],
+    "regional": ["region", "displacement_type", "metric"],
+    "cargo": ["cargo_class", "direction", "region"],
+    "price_index": ["year", "quarter", "distance_band"],
+    "distance_bands": ["distance_band", "service_type", "metric"],
+    "cost": ["period", "vehicle_type"],
+}
+_add("distinct_values", " UNION ALL ".join(
+    f"SELECT DISTINCT '{ds}' AS dataset, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value "
+    f"FROM {ds}_raw" for ds, cols in _DIST.items() for c in cols))
+_add("profile_nulls", " UNION ALL ".join(
+    f"SELECT '{ds}' AS dataset, '{c}' AS column_name, count(*) FILTER (WHERE {_blank(c, k)}) "
+    f"AS n_null FROM {ds}_raw" for ds, cols in _RAW_COLS.items() for c, k in cols))
+_add("profile_distinct", " UNION ALL ".join(
+    f"SELECT '{ds}' AS dataset, '{c}' AS column_name, {_ndist(c)} AS n_distinct FROM {ds}_raw"
+    for ds in ("corridors", "regional", "cargo") for c, _ in _RAW_COLS[ds]))
+_NUMC = {
+    "corridors": ["value"], "regional": ["value"], "cargo": ["value"],
+    "price_index": ["price_index"], "distance_bands": ["value"],
+    "cost": ["fuel_price_per_litre", "personal_conduccion_eur", "dietas_conductor_eur",
+             "seguros_eur", "costes_fiscales_eur", "combustible_eur"],
+}
+_add("profile_numeric", " UNION ALL ".join(
+    f"SELECT '{ds}' AS dataset, '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS min_v, "
+    f"CAST(max({c}) AS DOUBLE) AS max_v, avg({c}) AS avg_v FROM {ds}_raw"
+    for ds, cols in _NUMC.items() for c in cols), ["min_v", "max_v", "avg_v"])
+_add("profile_summary", " UNION ALL ".join(
+    f"SELECT '{ds}' AS dataset, '{c}' AS column_name, count(*) AS n_rows, "
+    f"count(*) FILTER (WHERE {_blank(c, k)}) AS n_null, {_ndist(c)} AS n_distinct, "
+    f"{_num(c, k, 'min')} AS min_v, {_num(c, k, 'max')} AS max_v, {_num(c, k, 'avg')} AS avg_v "
+    f"FROM {ds}_raw" for ds, cols in _RAW_COLS.items() for c, k in cols),
+    ["min_v", "max_v", "avg_v"])
+_STATS = [("cost", "fuel_price_per_litre", "cost"), ("cost", "combustible_eur", "cost"),
+          ("cost", "personal_conduccion_eur", "cost"), ("cost", "peajes_eur", "cost"),
+          ("price_index", "price_index", "price_index"),
+          ("corridors", "value",
+           "(SELECT * FROM corridors WHERE metric = 'transport_operations_total')")]
+_add("stats_mmm", " UNION ALL ".join(
+    f"SELECT '{ds}' AS dataset, '{c}' AS column_name, avg({c}) AS mean, "
+    f"CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS median, "
+    f"(SELECT CAST(v AS DOUBLE) FROM (SELECT {c} AS v, count(*) AS n FROM {src} s2 GROUP BY {c}) "
+    f"ORDER BY n DESC, v ASC NULLS LAST LIMIT 1) AS mode FROM {src} s1"
+    for ds, c, src in _STATS), ["mean", "median", "mode"])
+_add("stats_stddev", "SELECT 'cost' AS dataset, 'combustible_eur' AS column_name, "
+     "stddev_samp(combustible_eur) AS stddev FROM cost", ["stddev"])
+
+# ---- data quality -----------------------------------------------------------------
+_add("dq_taxonomy", """
+  SELECT year, count(DISTINCT cargo_class) AS n_classes,
+         count(DISTINCT cargo_class) = 6 AND count(DISTINCT cargo_class) FILTER (
+           WHERE cargo_class IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD')) = 6
+           AS match
+  FROM cargo GROUP BY year""")
+_add("dq_band_share", """
+  SELECT b.year, b.distance_band, b.value / nullif(t.value, 0) * 100 AS share_pct
+  FROM distance_bands b JOIN distance_bands t
+    ON b.year = t.year AND t.distance_band = 'Total' AND t.metric = 'operations_total'
+   AND t.service_type = 'total'
+  WHERE b.metric = 'operations_total' AND b.service_type = 'total' AND b.distance_band <> 'Total'""",
+     ["share_pct"])
+_add("dq_density", """
+  SELECT 'corridors' AS dataset, count(*) // (count(DISTINCT year) * count(DISTINCT metric)) AS density
+  FROM corridors
+  UNION ALL
+  SELECT 'price_index', CASE WHEN count(DISTINCT year) > 0 THEN count(*) // count(DISTINCT year)
+                             ELSE 0 END FROM price_index""")
+_add("dq_spot", "SELECT * FROM corridors WHERE year = 2000 AND origin_region = 'NATION_1' "
+     "AND destination_region = 'NATION_2' AND metric = 'transport_operations_total'", ["value"])
+_add("dq_trend", """
+  SELECT period, fuel_price_per_litre, (SELECT min(period) FROM cost) AS first_period,
+         (SELECT max(period) FROM cost) AS last_period
+  FROM cost ORDER BY period""", ["fuel_price_per_litre"])

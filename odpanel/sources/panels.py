@@ -33,6 +33,8 @@ EMPTY_FLAG = "R"              # return flag counted as an empty run
 ZERO_REGION, ZERO_CLASS = "NATION_0", "PROMO"   # cargo cell forced to 0
 GAP_YEAR, GAP_QUARTER = 1998, 3                 # cost quarter left out
 VEHICLE_TYPE = "articulado_carga_general"
+# The cargo class taxonomy of the derived panel (part types).
+CARGO_CLASSES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 N_NATIONS_MAX = 1000          # bound for broadcasting the nation dimension
 MONEY = "decimal(15,2)"
 RATE = "decimal(5,2)"
