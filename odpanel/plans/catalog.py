@@ -305,3 +305,52 @@ def q_dq_spot(spark, d):
 @query("dq_trend")
 def q_dq_trend(spark, d):
     return quality.trend(clean(spark, d, "cost"), "fuel_price_per_litre")
+
+
+# ---- sources, sinks, records ---------------------------------------------------------
+from odpanel.operators.records import extract_records  # noqa: E402
+from odpanel.schemas import CORRIDORS  # noqa: E402
+from odpanel.session import shared_dir  # noqa: E402
+from odpanel.sources import files, records  # noqa: E402
+from odpanel.sources.tables import read_table  # noqa: E402
+
+
+@query("obs_extract")
+def q_obs_extract(spark, d):
+    """Cost rows written as fixed-line Latin-1 records, then extracted."""
+    return extract_records(records.cost_records(raw(spark, d, "cost")))
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, d):
+    """Cleaned corridors written as header CSV to shared storage, read back
+    with the explicit schema."""
+    path = shared_dir(spark, "csv_roundtrip")
+    files.write_csv(clean(spark, d, "corridors"), path)
+    return files.read_csv(spark, path, CORRIDORS)
+
+
+@query("files_by_year")
+def q_files_by_year(spark, d):
+    """One folder per year (name carries the year, file has no year column),
+    read back as one scan with the year taken from the path."""
+    path = shared_dir(spark, "files_by_year")
+    c = clean(spark, d, "corridors")
+    c.write.mode("overwrite").option("header", True).partitionBy("year").csv(path)
+    no_year = CORRIDORS.__class__([f for f in CORRIDORS.fields if f.name != "year"])
+    return files.read_by_year(spark, path, no_year, r"year=(\d{4})")
+
+
+@query("scan_table")
+def q_scan_table(spark, d):
+    """Cleaned price panel stored as parquet in shared storage, then scanned."""
+    path = shared_dir(spark, "scan_table")
+    files.write_parquet(clean(spark, d, "price_index"), path)
+    return spark.read.parquet(path)
+
+
+@query("proj_alias")
+def q_proj_alias(spark, d):
+    o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    return o.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+                    F.year("o_orderdate").alias("order_year"))

@@ -186,3 +186,21 @@ _add("dq_trend", """
   SELECT period, fuel_price_per_litre, (SELECT min(period) FROM cost) AS first_period,
          (SELECT max(period) FROM cost) AS last_period
   FROM cost ORDER BY period""", ["fuel_price_per_litre"])
+
+# ---- sources, sinks, records ---------------------------------------------------------
+_add("obs_extract", """
+  SELECT period, vehicle_type, km_anual, pct_carga, km_anual * pct_carga / 100.0 AS km_en_carga,
+         horas_anuales, personal_conduccion_eur, dietas_conductor_eur, seguros_eur,
+         costes_fiscales_eur, peajes_eur, urea_eur, costes_indirectos_eur, vehicle_price_eur,
+         semitrailer_price_eur, fuel_price_per_litre, fuel_consumption_coeff, interest_rate_pct,
+         fuel_price_per_litre * fuel_consumption_coeff * km_anual AS combustible_eur
+  FROM cost_raw WHERE period <> DATE '1995-01-01' ORDER BY period""",
+     ["km_anual", "pct_carga", "km_en_carga", "horas_anuales", "personal_conduccion_eur",
+      "dietas_conductor_eur", "seguros_eur", "costes_fiscales_eur", "peajes_eur", "urea_eur",
+      "costes_indirectos_eur", "vehicle_price_eur", "semitrailer_price_eur",
+      "fuel_price_per_litre", "fuel_consumption_coeff", "interest_rate_pct", "combustible_eur"])
+_add("csv_roundtrip", "SELECT * FROM corridors", ["value"])
+_add("files_by_year", "SELECT * FROM corridors", ["value"])
+_add("scan_table", "SELECT * FROM price_index", ["price_index"])
+_add("proj_alias", "SELECT o_orderkey AS order_id, o_custkey AS customer_id, "
+     "CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders")
