@@ -18,10 +18,15 @@ def min_max(df: DataFrame, cols, suffix: str = "_n") -> DataFrame:
     A NULL bound counts as 0; a zero range gives 0.0 for every row (NULL
     values included); otherwise a NULL value stays NULL.
     """
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.min(F.col(c)).cast("double").alias(f"mn{i}"),
+                 F.max(F.col(c)).cast("double").alias(f"mx{i}")]
+    b = df.select(F.struct(*aggs)).scalar()   # all bounds: one aggregate, one subquery
     out = {}
-    for c in cols:
-        mn = F.coalesce(df.select(F.min(F.col(c)).cast("double")).scalar(), F.lit(0.0))
-        mx = F.coalesce(df.select(F.max(F.col(c)).cast("double")).scalar(), F.lit(0.0))
+    for i, c in enumerate(cols):
+        mn = F.coalesce(b.getField(f"mn{i}"), F.lit(0.0))
+        mx = F.coalesce(b.getField(f"mx{i}"), F.lit(0.0))
         rng = mx - mn
         out[c + suffix] = F.when(rng == 0, F.lit(0.0)).otherwise(
             F.try_divide(F.col(c) - mn, rng))
@@ -31,11 +36,13 @@ def min_max(df: DataFrame, cols, suffix: str = "_n") -> DataFrame:
 def z_score(df: DataFrame, cols, suffix: str = "_z") -> DataFrame:
     """Add ``c + suffix`` = (c - mean) / sample stddev; NULL when the stddev
     is 0 or undefined."""
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.avg(F.col(c)).alias(f"mu{i}"), F.stddev_samp(F.col(c)).alias(f"sd{i}")]
+    b = df.select(F.struct(*aggs)).scalar()
     out = {}
-    for c in cols:
-        mu = df.select(F.avg(F.col(c))).scalar()
-        sd = df.select(F.stddev_samp(F.col(c))).scalar()
-        out[c + suffix] = F.try_divide(F.col(c) - mu, sd)
+    for i, c in enumerate(cols):
+        out[c + suffix] = F.try_divide(F.col(c) - b.getField(f"mu{i}"), b.getField(f"sd{i}"))
     return df.withColumns(out)
 
 

@@ -30,19 +30,23 @@ def finalize(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def query(name: str):
+    """Register ``fn(spark, src)``; the catalogue callable takes (spark, sf_dir)
+    and gives ``fn`` one PanelSource, so all panels of a query share cubes."""
     def deco(fn):
-        QUERIES[name] = lambda spark, d, _fn=fn: finalize(_fn(spark, d))
-        QUERIES[name].__doc__ = fn.__doc__
+        def run(spark, sf_dir, _fn=fn):
+            return finalize(_fn(spark, panels.PanelSource(spark, sf_dir)))
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 
 
-def raw(spark, d, name):
-    return panels.RAW[name](spark, d)
+def raw(spark, src, name):
+    return src.raw(name)
 
 
-def clean(spark, d, name):
-    return cleaning.CLEANERS[name](panels.RAW[name](spark, d))
+def clean(spark, src, name):
+    return src.clean(name)
 
 
 # ---- cleaning ----------------------------------------------------------------
@@ -351,6 +355,6 @@ def q_scan_table(spark, d):
 
 @query("proj_alias")
 def q_proj_alias(spark, d):
-    o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    o = read_table(spark, d.sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     return o.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
                     F.year("o_orderdate").alias("order_year"))

@@ -42,6 +42,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder: the session's own setting when present
+    (``spark.checkpoint.dir`` or an already set SparkContext dir); only when
+    unset, as in local tests, a fresh temporary folder."""
+    sc = spark.sparkContext
+    cur = sc.getCheckpointDir()
+    if cur:
+        return cur
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="odpanel-ckpt-")
+    sc.setCheckpointDir(root)
+    return sc.getCheckpointDir() or root
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
@@ -50,12 +63,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     tests, a temporary folder is created and registered as checkpoint dir.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="odpanel-ckpt-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
-    base = sc.getCheckpointDir() or root
+    base = ensure_checkpoint_dir(spark)
     # Unique per call: a uuid-like suffix from the JVM's clock and pid.
     suffix = f"{name}-{os.getpid()}-{sc._jvm.java.lang.System.nanoTime()}"
     return base.rstrip("/") + "/" + suffix

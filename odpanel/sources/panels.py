@@ -79,10 +79,10 @@ def flow_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.col("l_extendedprice").cast(MONEY)).alias("price"))
 
 
-def _pair_flows(spark, sf_dir):
+def _pair_flows(src):
     """flow_cube rolled up to (year, o_nk, d_nk) with nation names/regions."""
-    nat = _nations(spark, sf_dir)
-    g = flow_cube(spark, sf_dir).groupBy("year", "o_nk", "d_nk").agg(
+    nat = src.nations()
+    g = src.flow_cube().groupBy("year", "o_nk", "d_nk").agg(
         F.sum("n_ops").alias("n_ops"), F.sum("n_empty").alias("n_empty"),
         F.sum("qty").alias("qty"), F.sum("price").alias("price"))
     o = nat.select(F.col("n_nationkey").alias("o_nk"), F.col("n_name").alias("o_name"),
@@ -102,13 +102,13 @@ def _flow_metrics(df):
     }
 
 
-def corridors_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def corridors_raw(src: "PanelSource") -> DataFrame:
     """corridors long table: (year, origin_region, destination_region, metric, value).
 
     Suppressed tonnes stay as NULL rows; diagonal and out-of-range years stay
     too, for the cleaner to remove.
     """
-    f = _pair_flows(spark, sf_dir)
+    f = _pair_flows(src)
     m = _flow_metrics(f)
     wide = f.select(
         "year", F.col("o_name").alias("origin_region"), F.col("d_name").alias("destination_region"),
@@ -121,14 +121,14 @@ def corridors_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "tonnes_thousands", "tonne_km_millions"], "metric", "value")
 
 
-def regional_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def regional_raw(src: "PanelSource") -> DataFrame:
     """regional long table: (year, region, displacement_type, metric, value).
 
     A flow within one nation is intrarregional; between nations of the same
     region key it is interregional, otherwise internacional; expedido is
     counted at the origin, recibido at the destination.
     """
-    f = _pair_flows(spark, sf_dir)
+    f = _pair_flows(src)
     kind = (F.when(F.col("o_rk") == F.col("d_rk"), F.lit("interregional"))
             .otherwise(F.lit("internacional")))
     intra = F.col("o_nk") == F.col("d_nk")
@@ -155,15 +155,15 @@ def regional_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "tonne_km_millions"], "metric", "value")
 
 
-def cargo_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cargo_raw(src: "PanelSource") -> DataFrame:
     """cargo long table: (year, region, direction, cargo_class, metric, value).
 
     Inter-nation flows by part type, expedido at the origin and recibido at
     the destination; plus per-(year, direction, class) TOTAL rows with a NULL
     region, and one region/class forced to 0.
     """
-    nat = _nations(spark, sf_dir)
-    c = flow_cube(spark, sf_dir).where(F.col("o_nk") != F.col("d_nk"))
+    nat = src.nations()
+    c = src.flow_cube().where(F.col("o_nk") != F.col("d_nk"))
     sides = F.array(F.struct(F.col("o_nk").alias("nk"), F.lit("expedido").alias("direction")),
                      F.struct(F.col("d_nk").alias("nk"), F.lit("recibido").alias("direction")))
     g = (c.select("year", "p_type", "n_ops", "qty", F.explode(sides).alias("s"))
@@ -210,10 +210,10 @@ def ship_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(safe_div("l_extendedprice", "l_quantity")).alias("unit_sum"))
 
 
-def price_index_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def price_index_raw(src: "PanelSource") -> DataFrame:
     """price_index: (year, quarter, distance_band, price_index); price index =
     mean unit price per size band, plus a ``Total`` band mixed in."""
-    c = ship_cube(spark, sf_dir)
+    c = src.ship_cube()
     bands = F.array(_band_label(F.col("band_no")), F.lit("Total"))
     g = (c.select("year", "q", "n", "unit_sum", F.explode(bands).alias("distance_band"))
          .groupBy("year", "q", "distance_band")
@@ -222,10 +222,10 @@ def price_index_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "distance_band", safe_div("unit_sum", "n").alias("price_index"))
 
 
-def distance_bands_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def distance_bands_raw(src: "PanelSource") -> DataFrame:
     """distance_bands: (year, distance_band, service_type, metric, value) with
     the band total and the service split (F -> cuenta_ajena, O -> cuenta_propia)."""
-    c = ship_cube(spark, sf_dir)
+    c = src.ship_cube()
     svc = F.when(F.col("l_linestatus") == "F", F.lit("cuenta_ajena")).when(
         F.col("l_linestatus") == "O", F.lit("cuenta_propia"))
     keys = F.array(*[F.struct(b.alias("distance_band"), s.alias("service_type"))
@@ -245,12 +245,9 @@ def distance_bands_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "metric", "value")
 
 
-def cost_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """cost model per ship quarter (period = first day of the quarter).
-
-    One scan of lineitem and one partial aggregate; one quarter is left out
-    to stand for an unpublished period.
-    """
+def cost_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per ship (year, quarter): the cost-model measures. One scan of lineitem
+    and one partial aggregate, no join."""
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_quantity", "l_extendedprice", "l_discount", "l_tax",
                      "l_returnflag", "l_linestatus", "l_shipdate"])
@@ -272,7 +269,13 @@ def cost_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.avg("l_discount").alias("fuel_consumption_coeff"),
         (F.avg("l_discount") * 100).alias("interest_rate_pct"),
         (F.sum(price * disc).cast("double") / 100).alias("combustible_eur"))
-    g = g.where(~((F.col("y") == GAP_YEAR) & (F.col("q") == GAP_QUARTER)))
+    return g
+
+
+def cost_raw(src: "PanelSource") -> DataFrame:
+    """cost model per ship quarter (period = first day of the quarter); one
+    quarter is left out to stand for an unpublished period."""
+    g = src.cost_cube().where(~((F.col("y") == GAP_YEAR) & (F.col("q") == GAP_QUARTER)))
     return g.select(
         F.make_date("y", (F.col("q") - 1) * 3 + 1, F.lit(1)).alias("period"),
         F.lit(VEHICLE_TYPE).alias("vehicle_type"),
@@ -287,3 +290,51 @@ RAW = {
     "corridors": corridors_raw, "regional": regional_raw, "cargo": cargo_raw,
     "price_index": price_index_raw, "distance_bands": distance_bands_raw, "cost": cost_raw,
 }
+
+
+class PanelSource:
+    """The panels of one source directory, sharing their aggregate cubes.
+
+    Each cube is computed once and checkpointed (reliable checkpoint in the
+    session's shared checkpoint folder): the large join and scan run once
+    per cube however many panels, branches or subqueries read it, and the
+    lineage below the cube is cut, so a lost executor never re-runs the big
+    join. The cubes are bounded by their key domains (years, quarters,
+    nations, part types, bands), not by the number of lineitem rows.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+        self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
+        self._cubes: dict[str, DataFrame] = {}
+        self._nations = None
+
+    def _cube(self, name, build):
+        if name not in self._cubes:
+            df = build(self.spark, self.sf_dir)
+            if self.materialize:
+                from odpanel.session import ensure_checkpoint_dir
+                ensure_checkpoint_dir(self.spark)
+                df = df.checkpoint(eager=True)
+            self._cubes[name] = df
+        return self._cubes[name]
+
+    def flow_cube(self) -> DataFrame:
+        return self._cube("flow", flow_cube)
+
+    def ship_cube(self) -> DataFrame:
+        return self._cube("ship", ship_cube)
+
+    def cost_cube(self) -> DataFrame:
+        return self._cube("cost", cost_cube)
+
+    def nations(self) -> DataFrame:
+        if self._nations is None:
+            self._nations = _nations(self.spark, self.sf_dir)
+        return self._nations
+
+    def raw(self, name: str) -> DataFrame:
+        return RAW[name](self)
+
+    def clean(self, name: str) -> DataFrame:
+        from odpanel.operators.cleaning import CLEANERS
+        return CLEANERS[name](RAW[name](self))
