@@ -358,3 +358,95 @@ def q_proj_alias(spark, d):
     o = read_table(spark, d.sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     return o.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
                     F.year("o_orderdate").alias("order_year"))
+
+
+# ---- grids --------------------------------------------------------------------------
+from odpanel.operators import grid as G  # noqa: E402
+from odpanel.sources import grid as GS  # noqa: E402
+
+
+def _n_regions(src) -> int:
+    """Size of the nation dimension (a bounded count of a dimension table)."""
+    return src.nations().count()
+
+
+@query("clean_cells")
+def q_clean_cells(spark, d):
+    return G.cell_values(GS.corridor_cells(d, _n_regions(d)))
+
+
+@query("normalize_labels")
+def q_normalize_labels(spark, d):
+    from odpanel.functions import normalize_label
+    cells = GS.regional_cells(d, _n_regions(d))
+    return cells.where(F.col("col") == 0).select(
+        "file", "sheet", "row", F.col("text").alias("raw_label"),
+        normalize_label(F.col("text")).alias("label"))
+
+
+@query("unpivot_labels")
+def q_unpivot_labels(spark, d):
+    p = raw(spark, d, "price_index")
+    cols = {f"b{i}": b for i, b in enumerate(GS.PRICE_BANDS)}
+    wide = p.groupBy("year", "quarter").agg(
+        *[F.max(F.when(F.col("distance_band") == b, F.col("price_index"))).alias(c)
+          for c, b in cols.items()])
+    return G.unpivot_labeled(wide, ["year", "quarter"], cols, "distance_band", "price_index")
+
+
+@query("od_matrix_long")
+def q_od_matrix_long(spark, d):
+    n = _n_regions(d)
+    split = GS.matrix_split(n)
+    sheets = {code: (code + "s", m) for m, code in GS.CORRIDOR_SHEETS.items()}
+    m = G.od_matrix(GS.corridor_cells(d, n), sheets, GS.MATRIX_FIRST_ROW, n,
+                    list(range(1, split + 1)), list(range(0, n - split)))
+    labels = d.nations().select(F.col("n_nationkey").alias("idx"), F.col("n_name").alias("name"))
+    return G.od_long(m, labels, GS.EXCLUDED_REGIONS)
+
+
+@query("price_from_grid")
+def q_price_from_grid(spark, d):
+    cells = GS.price_cells(d)
+    cols = {i + 2: b for i, b in enumerate(GS.PRICE_BANDS)}
+    a = G.quarterly_panel(cells.where(F.col("file") == "prices_a"), GS.PRICE_SHEET,
+                          GS.PRICE_FIRST_ROW, GS.QUARTER_LABELS, cols, 1995, 1996)
+    b = G.quarterly_panel(cells.where(F.col("file") == "prices_b"), GS.PRICE_SHEET,
+                          GS.PRICE_FIRST_ROW, GS.QUARTER_LABELS, cols, 1997, 2001)
+    return a.unionByName(b)
+
+
+@query("regional_from_grid")
+def q_regional_from_grid(spark, d):
+    n = _n_regions(d)
+    sheets = {code: m for m, code in GS.REGIONAL_SHEETS.items()}
+    cols = {c: t for t, c in GS.DISPLACEMENT_COLS.items()}
+    return G.labeled_rows(GS.regional_cells(d, n), sheets, GS.REGIONAL_FIRST_ROW,
+                          GS.REGIONAL_FIRST_ROW + n + 1, cols)
+
+
+@query("bands_from_grid")
+def q_bands_from_grid(spark, d):
+    sheets = {code: m for m, code in GS.BAND_SHEETS.items()}
+    cols = {c: b for b, c in GS.BAND_COLS.items()}
+    return G.sectioned_rows(GS.bands_cells(d), sheets, GS.SECTIONS, cols, 1995, 2001)
+
+
+def _cargo_blocks(d):
+    cells = GS.cargo_cells(d, _n_regions(d))
+    return cells, G.find_blocks(cells, GS.BLOCK_FIRST_ROW, GS.BLOCK_MARKER,
+                                sheets=GS.cargo_block_sheets())
+
+
+@query("block_detect")
+def q_block_detect(spark, d):
+    return _cargo_blocks(d)[1]
+
+
+@query("block_extract")
+def q_block_extract(spark, d):
+    cells, blocks = _cargo_blocks(d)
+    metrics = {p: m for m, p in GS.CARGO_PREFIXES.items()}
+    return G.block_table(cells, blocks, GS.BLOCK_OFFSETS,
+                         {c: k for k, c in GS.CARGO_LEFT.items()},
+                         {c: k for k, c in GS.CARGO_RIGHT.items()}, metrics)

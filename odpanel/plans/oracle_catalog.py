@@ -204,3 +204,48 @@ _add("files_by_year", "SELECT * FROM corridors", ["value"])
 _add("scan_table", "SELECT * FROM price_index", ["price_index"])
 _add("proj_alias", "SELECT o_orderkey AS order_id, o_custkey AS customer_id, "
      "CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders")
+
+# ---- grids --------------------------------------------------------------------------
+_CS = ("CASE metric WHEN 'transport_operations_total' THEN '6.5' "
+       "WHEN 'transport_operations_empty' THEN '6.6' WHEN 'tonnes_thousands' THEN '6.7' "
+       "WHEN 'tonne_km_millions' THEN '6.8' END")
+_RS = ("CASE metric WHEN 'operations_total' THEN '6.1' WHEN 'operations_empty' THEN '6.2' "
+       "WHEN 'tonnes_thousands' THEN '6.3' WHEN 'tonne_km_millions' THEN '6.4' END")
+_add("clean_cells", f"""
+  SELECT 'flows_' || CAST(c.year AS VARCHAR) AS file,
+         {_CS} || CASE WHEN d.n_nationkey < 13 THEN '' ELSE 's' END AS sheet,
+         17 + o.n_nationkey AS row,
+         CASE WHEN d.n_nationkey < 13 THEN d.n_nationkey + 1 ELSE d.n_nationkey - 13 END AS col,
+         c.value AS value
+  FROM corridors_raw c JOIN nation o ON c.origin_region = o.n_name
+  JOIN nation d ON c.destination_region = d.n_name
+  UNION ALL
+  SELECT DISTINCT 'flows_' || CAST(c.year AS VARCHAR), {_CS}, 17 + o.n_nationkey, 0,
+         CAST(NULL AS DOUBLE)
+  FROM corridors_raw c JOIN nation o ON c.origin_region = o.n_name""", ["value"])
+_add("normalize_labels", f"""
+  SELECT DISTINCT 'regional_' || CAST(r.year AS VARCHAR) AS file, {_RS} AS sheet,
+         17 + n.n_nationkey AS row, r.region AS raw_label, r.region AS label
+  FROM regional_raw r JOIN nation n ON r.region = n.n_name
+  UNION ALL
+  SELECT DISTINCT 'regional_' || CAST(year AS VARCHAR), {_RS}, 17 + 25, 'TOTAL', NULL
+  FROM regional_raw""")
+_add("unpivot_labels", "SELECT * FROM price_index_raw WHERE price_index IS NOT NULL",
+     ["price_index"])
+_add("od_matrix_long", """
+  SELECT * FROM corridors_raw
+  WHERE value IS NOT NULL AND origin_region <> destination_region
+    AND origin_region <> 'NATION_24' AND destination_region <> 'NATION_24'""", ["value"])
+_add("price_from_grid", "SELECT * FROM price_index_raw WHERE price_index IS NOT NULL",
+     ["price_index"])
+_add("regional_from_grid", "SELECT * FROM regional_raw WHERE value IS NOT NULL AND region IS NOT NULL",
+     ["value"])
+_add("bands_from_grid", "SELECT * FROM distance_bands_raw WHERE value IS NOT NULL "
+     "AND year BETWEEN 1995 AND 2001", ["value"])
+_add("block_detect", """
+  SELECT DISTINCT 'cargo_' || CAST(c.year AS VARCHAR) AS file,
+         CASE c.metric WHEN 'operations' THEN '7.4' ELSE '7.5' END || 'p'
+           || CAST(2 * coalesce(n.n_nationkey % 4, 0) + 1 AS VARCHAR) AS sheet,
+         16 + 10 * coalesce(n.n_nationkey // 4, 7) AS row, c.region AS region
+  FROM cargo_raw c LEFT JOIN nation n ON c.region = n.n_name""")
+_add("block_extract", "SELECT * FROM cargo_raw", ["value"])
