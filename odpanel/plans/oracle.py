@@ -26,7 +26,7 @@ CTES["pair_flows"] = """
          count(*) AS n_ops,
          count(*) FILTER (WHERE l.l_returnflag = 'R') AS n_empty,
          sum(l.l_quantity) AS qty,
-         sum(CAST(l.l_extendedprice AS DECIMAL(15,2))) AS price
+         sum(CAST(round(l.l_extendedprice * 100) AS BIGINT)) AS price
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
@@ -39,7 +39,7 @@ _FLOW_METRICS = lambda names: [
     (names[0], "CAST(n_ops AS DOUBLE)"),
     (names[1], "CAST(n_empty AS DOUBLE)"),
     (names[2], "CASE WHEN n_ops >= 5 THEN qty END"),
-    (names[3], "CAST(price AS DOUBLE) / 1000"),
+    (names[3], "CAST(price AS DOUBLE) / 100000.0"),
 ]
 
 CTES["corridors_raw"] = _unpivot(
@@ -133,7 +133,7 @@ CTES["price_index"] = f"""
 
 CTES["bands_g"] = """
   SELECT year, distance_band, service_type, count(*) AS n, sum(l_quantity) AS qty,
-         sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS price
+         sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS price
   FROM (
     SELECT year, b.distance_band, s.service_type, l_quantity, l_extendedprice
     FROM ship,
@@ -148,7 +148,7 @@ CTES["bands_g"] = """
 CTES["distance_bands_raw"] = _unpivot(
     "bands_g", "year, distance_band, service_type",
     [("operations_total", "CAST(n AS DOUBLE)"), ("tonnes_thousands", "qty"),
-     ("tonne_km_millions", "CAST(price AS DOUBLE) / 1000")])
+     ("tonne_km_millions", "CAST(price AS DOUBLE) / 100000.0")])
 
 CTES["distance_bands"] = """
   SELECT * FROM distance_bands_raw
@@ -157,22 +157,22 @@ CTES["distance_bands"] = """
 _COMBOS = [("personal_conduccion_eur", "A", "F"), ("dietas_conductor_eur", "A", "O"),
            ("seguros_eur", "N", "F"), ("costes_fiscales_eur", "N", "O"),
            ("peajes_eur", "R", "F"), ("urea_eur", "R", "O")]
-_PRICE = "CAST(l_extendedprice AS DECIMAL(15,2))"
-_DISC, _TAX = "CAST(l_discount AS DECIMAL(5,2))", "CAST(l_tax AS DECIMAL(5,2))"
+_PRICE = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+_DISC, _TAX = "CAST(round(l_discount * 100) AS BIGINT)", "CAST(round(l_tax * 100) AS BIGINT)"
 CTES["cost_g"] = f"""
   SELECT CAST(year(l_shipdate) AS INTEGER) AS y, CAST(quarter(l_shipdate) AS INTEGER) AS q,
          sum(l_quantity) AS km_anual,
          CAST(count(*) FILTER (WHERE l_linestatus = 'F') AS DOUBLE) * CAST(100.0 AS DOUBLE)
            / count(*) AS pct_carga,
          CAST(count(*) AS DOUBLE) AS horas_anuales,
-         {", ".join(f"CAST(sum({_PRICE} * ({_DISC} + {_TAX})) FILTER (WHERE l_returnflag = '{f}' AND l_linestatus = '{s}') AS DOUBLE) AS {n}" for n, f, s in _COMBOS)},
-         CAST(sum({_PRICE} * {_TAX}) AS DOUBLE) / 100 AS costes_indirectos_eur,
+         {", ".join(f"CAST(sum({_PRICE} * ({_DISC} + {_TAX})) FILTER (WHERE l_returnflag = '{f}' AND l_linestatus = '{s}') AS DOUBLE) / 10000.0 AS {n}" for n, f, s in _COMBOS)},
+         CAST(sum({_PRICE} * {_TAX}) AS DOUBLE) / 1000000.0 AS costes_indirectos_eur,
          max(l_extendedprice) AS vehicle_price_eur,
          min(l_extendedprice) AS semitrailer_price_eur,
          avg(l_tax) AS fuel_price_per_litre,
          avg(l_discount) AS fuel_consumption_coeff,
          avg(l_discount) * 100 AS interest_rate_pct,
-         CAST(sum({_PRICE} * {_DISC}) AS DOUBLE) / 100 AS combustible_eur
+         CAST(sum({_PRICE} * {_DISC}) AS DOUBLE) / 1000000.0 AS combustible_eur
   FROM lineitem GROUP BY ALL"""
 
 CTES["cost_raw"] = f"""

@@ -17,8 +17,15 @@ METRICS = ["asymmetry", "empty_rate", "instability", "concentration"]
 RANKING_COLUMNS = ["origin", "destination", *METRICS, *[m + "_n" for m in METRICS], "composite"]
 
 
-def corridor_ranking(corridors: DataFrame, cargo: DataFrame) -> DataFrame:
+def corridor_ranking(corridors: DataFrame, cargo: DataFrame, materialize: bool = True) -> DataFrame:
+    """``materialize``: checkpoint the per-pair scores (one row per directed
+    pair, bounded by regions squared) so the bounds aggregate and the final
+    projection read them instead of recomputing the pair metrics."""
     scored = corridor_scores(corridors, cargo)
+    if materialize:
+        from odpanel.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(scored.sparkSession)
+        scored = scored.checkpoint(eager=True)
     normed = min_max(scored, METRICS)
     return (normed.withColumn("composite", composite([m + "_n" for m in METRICS]))
             .select(*RANKING_COLUMNS)

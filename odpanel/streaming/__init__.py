@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The analysed application is batch only: no stream source, sink, watermark,
+window or state, and every output is an idempotent overwrite. Nothing is
+built here on purpose; the batch operators accept any DataFrame, so a
+caller can apply them inside ``foreachBatch`` if ever needed.
+"""
