@@ -81,7 +81,11 @@ def flow_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     oc = (orders.join(cust, orders.o_custkey == cust.c_custkey)
           .select("o_orderkey", F.year("o_orderdate").alias("year"),
                   F.col("c_nationkey").alias("d_nk")))
-    j = (li.join(oc, li.l_orderkey == oc.o_orderkey)
+    # Shuffle-hash join with orders ⋈ customer as the build side: it is keyed
+    # by the unique order key (no build-side skew; hot keys can only be on
+    # the streamed lineitem side, which AQE splits), and it avoids both the
+    # sort of a merge join and broadcasting either large side.
+    j = (li.join(oc.hint("shuffle_hash"), li.l_orderkey == oc.o_orderkey)
          .join(supp, li.l_suppkey == supp.s_suppkey)
          .join(part, li.l_partkey == part.p_partkey))
     g = j.groupBy("year", F.col("s_nationkey").alias("o_nk"), "d_nk", "p_type").agg(
