@@ -29,61 +29,90 @@ def in_years(col: str = "year", lo: int = YEAR_MIN, hi: int = YEAR_MAX) -> Colum
     return F.col(col).between(lo, hi)
 
 
+def corridors_ok(lo: int = YEAR_MIN, hi: int = YEAR_MAX, origin: str = "origin_region",
+                 dest: str = "destination_region") -> Column:
+    """Value and both endpoints present, no self-loop, year in window."""
+    return (not_null("value", origin, dest) & (F.col(origin) != F.col(dest))
+            & in_years("year", lo, hi))
+
+
+def regional_ok(lo: int = YEAR_MIN, hi: int = YEAR_MAX) -> Column:
+    return not_null("value", "region") & in_years("year", lo, hi)
+
+
+def cargo_ok(lo: int = YEAR_MIN, hi: int = YEAR_MAX) -> Column:
+    """Strictly positive value, region and class present (drops the TOTAL
+    rows, whose region is NULL), year in window."""
+    return (not_null("value", "region", "cargo_class") & (F.col("value") > 0)
+            & in_years("year", lo, hi))
+
+
+def price_ok(lo: int = YEAR_MIN, hi: int = YEAR_MAX) -> Column:
+    return not_null("price_index") & in_years("year", lo, hi)
+
+
+def bands_ok() -> Column:
+    """Strictly positive value and band present. No year filter."""
+    return not_null("value", "distance_band") & (F.col("value") > 0)
+
+
+def cost_ok(lo: int = YEAR_MIN, hi: int = YEAR_MAX, period: str = "period") -> Column:
+    """Period present and its year prefix in the window."""
+    return year_prefix(period).between(lo, hi) & F.col(period).isNotNull()
+
+
 def clean_corridors(df: DataFrame, lo: int = YEAR_MIN, hi: int = YEAR_MAX,
                     origin: str = "origin_region", dest: str = "destination_region") -> DataFrame:
-    """Value and both endpoints present, no self-loop, year in window.
-    Zero values stay."""
-    return df.where(not_null("value", origin, dest) & (F.col(origin) != F.col(dest))
-                    & in_years("year", lo, hi))
+    """Zero values stay."""
+    return df.where(corridors_ok(lo, hi, origin, dest))
 
 
 def clean_regional(df: DataFrame, lo: int = YEAR_MIN, hi: int = YEAR_MAX) -> DataFrame:
-    """Value and region present, year in window. Zero values stay."""
-    return df.where(not_null("value", "region") & in_years("year", lo, hi))
+    """Zero values stay."""
+    return df.where(regional_ok(lo, hi))
 
 
 def clean_cargo(df: DataFrame, lo: int = YEAR_MIN, hi: int = YEAR_MAX) -> DataFrame:
-    """Strictly positive value, region and class present, year in window
-    (drops the TOTAL rows, whose region is NULL)."""
-    return df.where(not_null("value", "region", "cargo_class") & (F.col("value") > 0)
-                    & in_years("year", lo, hi))
+    return df.where(cargo_ok(lo, hi))
 
 
 def clean_price(df: DataFrame, lo: int = YEAR_MIN, hi: int = YEAR_MAX) -> DataFrame:
-    return df.where(not_null("price_index") & in_years("year", lo, hi))
+    return df.where(price_ok(lo, hi))
 
 
 def clean_bands(df: DataFrame) -> DataFrame:
-    """Strictly positive value and band present. No year filter."""
-    return df.where(not_null("value", "distance_band") & (F.col("value") > 0))
+    return df.where(bands_ok())
 
 
 def clean_cost(df: DataFrame, lo: int = YEAR_MIN, hi: int = YEAR_MAX,
                period: str = "period") -> DataFrame:
-    """Drop the non-cost columns, keep periods whose year prefix is in the
-    window; the period must be present."""
+    """Drop the non-cost columns and keep periods in the window."""
     keep = [c for c in df.columns if c not in COST_DROPPED]
-    return df.select(*keep).where(year_prefix(period).between(lo, hi) & F.col(period).isNotNull())
+    return df.select(*keep).where(cost_ok(lo, hi, period))
 
 
 CLEANERS = {
     "corridors": clean_corridors, "regional": clean_regional, "cargo": clean_cargo,
     "price_index": clean_price, "distance_bands": clean_bands, "cost": clean_cost,
 }
+PREDICATES = {
+    "corridors": corridors_ok, "regional": regional_ok, "cargo": cargo_ok,
+    "price_index": price_ok, "distance_bands": bands_ok, "cost": cost_ok,
+}
 
 
-def table_summary(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+def table_summary(raws: dict[str, DataFrame]) -> DataFrame:
     """Raw rows, cleaned rows and cleaned column count per dataset.
 
-    ``pairs`` maps dataset name -> (raw, cleaned). Each count is a global
-    aggregate (partial counts per task, one row shuffled); the cleaned count
-    enters as a scalar subquery, so everything stays in one plan with no
-    driver round trip per count.
+    Cleaned rows are counted as raw rows passing the cleaner's predicate, so
+    all datasets are counted in one pass and one aggregate (partial counts
+    per task, one row per dataset shuffled).
     """
-    parts = []
-    for name, (raw, clean) in pairs.items():
-        clean_rows = clean.select(F.count(F.lit(1))).scalar()
-        parts.append(raw.agg(F.count(F.lit(1)).alias("raw_rows")).select(
-            F.lit(name).alias("dataset"), "raw_rows", clean_rows.alias("clean_rows"),
-            F.lit(len(clean.columns)).alias("n_columns")))
-    return reduce(DataFrame.unionByName, parts)
+    ncols = {name: len(CLEANERS[name](df).columns) for name, df in raws.items()}
+    flags = reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("dataset"), PREDICATES[name]().alias("ok"))
+        for name, df in raws.items()])
+    n = F.create_map(*[x for k, v in ncols.items() for x in (F.lit(k), F.lit(v))])
+    return flags.groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("raw_rows"), F.count_if("ok").alias("clean_rows")).select(
+        "dataset", "raw_rows", "clean_rows", n[F.col("dataset")].alias("n_columns"))

@@ -31,6 +31,50 @@ def long_view(df: DataFrame, cols=None) -> DataFrame:
     return df.select(F.inline(F.array(*recs)))
 
 
+def long_views(tables: dict, cols: dict | None = None) -> DataFrame:
+    """Long views of several tables in one frame, with a ``dataset`` column:
+    profiling many tables then costs one shuffle per statistic, not one per
+    table."""
+    cols = cols or {}
+    return union_all(long_view(df, cols.get(name)).select(F.lit(name).alias("dataset"), "*")
+                     for name, df in tables.items())
+
+
+def profile_tables(tables: dict, cols: dict | None = None) -> DataFrame:
+    """``profile`` of several tables at once: (dataset, column_name, n_rows,
+    n_null, n_distinct, min_v, max_v, avg_v) from two aggregates and a join."""
+    lv = long_views(tables, cols)
+    keys = ["dataset", "column_name"]
+    stats = lv.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("blank").alias("n_null"),
+        F.min("value_num").alias("min_v"), F.max("value_num").alias("max_v"),
+        F.avg("value_num").alias("avg_v"))
+    nd = (lv.select(*keys, "value_text").distinct()
+          .groupBy(*keys).agg(F.count(F.lit(1)).alias("n_distinct")))
+    return stats.join(nd, keys).select(*keys, "n_rows", "n_null", "n_distinct", "min_v",
+                                       "max_v", "avg_v")
+
+
+def describe_values(values: DataFrame, keys, value: str = "v", accuracy: int = 10000) -> DataFrame:
+    """Mean, approximate median and mode of ``value`` per key group.
+
+    Mean and median come from one aggregate (the median is a quantile
+    sketch, so a large group never sits in one task's memory); the mode from
+    counts per (key, value), combined map-side, then ``min_by`` over
+    (-count, is-null, value): the most frequent value, ties to the
+    smallest, NULL last.
+    """
+    keys = list(keys)
+    mm = values.groupBy(*keys).agg(
+        F.avg(value).alias("mean"),
+        F.percentile_approx(value, 0.5, accuracy).cast("double").alias("median"))
+    counts = values.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    mode = counts.groupBy(*keys).agg(
+        F.min_by(value, F.struct(-F.col("n"), F.col(value).isNull(), F.col(value)))
+        .cast("double").alias("mode"))
+    return mm.join(mode, keys).select(*keys, "mean", "median", "mode")
+
+
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """(value, count) sorted by count desc, value asc (map-side combined)."""
     return (df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))

@@ -59,8 +59,7 @@ for _name, _key in [("corridors", "clean_corridors"), ("regional", "clean_region
 @query("table_summary")
 def q_table_summary(spark, d):
     """Raw and cleaned row counts and cleaned column count of the six panels."""
-    return cleaning.table_summary({n: (raw(spark, d, n), clean(spark, d, n))
-                                   for n in panels.RAW})
+    return cleaning.table_summary({n: raw(spark, d, n) for n in panels.RAW})
 
 
 # ---- flows -------------------------------------------------------------------
@@ -223,10 +222,13 @@ def _stats_source(spark, d, dataset):
 
 @query("value_counts")
 def q_value_counts(spark, d):
-    return profile.union_all(
-        profile.labelled(ds, profile.value_counts(raw(spark, d, ds), c)
-                         .select(F.lit(c).alias("column_name"), "value", "count"))
+    """Frequencies of one key column per panel: the panels' (dataset, column,
+    value) rows are unioned and counted in one aggregate."""
+    vals = profile.union_all(
+        raw(spark, d, ds).select(F.lit(ds).alias("dataset"), F.lit(c).alias("column_name"),
+                                 F.col(c).alias("value"))
         for ds, c in FREQ_COLUMNS)
+    return vals.groupBy("dataset", "column_name", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
 @query("year_counts")
@@ -236,40 +238,44 @@ def q_year_counts(spark, d):
 
 @query("distinct_values")
 def q_distinct_values(spark, d):
-    return profile.union_all(profile.labelled(ds, profile.distinct_values(raw(spark, d, ds), cols))
-                             for ds, cols in DISTINCT_COLUMNS.items())
+    lv = profile.long_views({ds: raw(spark, d, ds) for ds in DISTINCT_COLUMNS}, DISTINCT_COLUMNS)
+    return lv.select("dataset", "column_name", F.col("value_text").alias("value")).distinct()
 
 
 @query("profile_nulls")
 def q_profile_nulls(spark, d):
-    return profile.union_all(profile.labelled(ds, profile.profile_nulls(raw(spark, d, ds)))
-                             for ds in panels.RAW)
+    lv = profile.long_views({ds: raw(spark, d, ds) for ds in panels.RAW})
+    return lv.groupBy("dataset", "column_name").agg(F.count_if("blank").alias("n_null"))
 
 
 @query("profile_distinct")
 def q_profile_distinct(spark, d):
-    return profile.union_all(profile.labelled(ds, profile.profile_distinct(raw(spark, d, ds)))
-                             for ds in ("corridors", "regional", "cargo"))
+    lv = profile.long_views({ds: raw(spark, d, ds) for ds in ("corridors", "regional", "cargo")})
+    return (lv.select("dataset", "column_name", "value_text").distinct()
+            .groupBy("dataset", "column_name").agg(F.count(F.lit(1)).alias("n_distinct")))
 
 
 @query("profile_numeric")
 def q_profile_numeric(spark, d):
-    return profile.union_all(profile.labelled(ds, profile.profile_numeric(raw(spark, d, ds), cols))
-                             for ds, cols in NUMERIC_COLUMNS.items())
+    lv = profile.long_views({ds: raw(spark, d, ds) for ds in NUMERIC_COLUMNS}, NUMERIC_COLUMNS)
+    return lv.groupBy("dataset", "column_name").agg(
+        F.min("value_num").alias("min_v"), F.max("value_num").alias("max_v"),
+        F.avg("value_num").alias("avg_v"))
 
 
 @query("profile_summary")
 def q_profile_summary(spark, d):
-    return profile.union_all(profile.labelled(ds, profile.profile(raw(spark, d, ds)))
-                             for ds in panels.RAW)
+    return profile.profile_tables({ds: raw(spark, d, ds) for ds in panels.RAW})
 
 
 @query("stats_mmm")
 def q_stats_mmm(spark, d):
-    return profile.union_all(
-        profile.labelled(ds, profile.describe_column(_stats_source(spark, d, ds), c)
-                         .select(F.lit(c).alias("column_name"), "mean", "median", "mode"))
+    vals = profile.union_all(
+        _stats_source(spark, d, ds).select(F.lit(ds).alias("dataset"),
+                                           F.lit(c).alias("column_name"),
+                                           F.col(c).cast("double").alias("v"))
         for ds, c in STATS_COLUMNS)
+    return profile.describe_values(vals, ["dataset", "column_name"])
 
 
 @query("stats_stddev")
