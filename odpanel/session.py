@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -46,11 +46,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder: the session's own setting when present
     (``spark.checkpoint.dir`` or an already set SparkContext dir); only when
     unset, as in local tests, a fresh temporary folder."""
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server reads the conf itself
+        if not conf_dir:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return conf_dir
     cur = sc.getCheckpointDir()
     if cur:
         return cur
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="odpanel-ckpt-")
+    root = conf_dir or tempfile.mkdtemp(prefix="odpanel-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
 
@@ -62,8 +68,5 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     checkpoint dir) is used when set. Only when neither is set, as in local
     tests, a temporary folder is created and registered as checkpoint dir.
     """
-    sc = spark.sparkContext
     base = ensure_checkpoint_dir(spark)
-    # Unique per call: a uuid-like suffix from the JVM's clock and pid.
-    suffix = f"{name}-{os.getpid()}-{sc._jvm.java.lang.System.nanoTime()}"
-    return base.rstrip("/") + "/" + suffix
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
