@@ -8,8 +8,13 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from odpanel.session import build_session
-    s = build_session("local[4]", shuffle_partitions=4)
+    wh = tempfile.mkdtemp(prefix="odpanel-wh-")
+    s = build_session("local[4]", shuffle_partitions=4,
+                      extra={"spark.sql.warehouse.dir": wh,
+                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="odpanel-ck-")})
     yield s
     s.stop()
 
