@@ -72,14 +72,14 @@ def year_prefix(c) -> Column:
     return F.substring(_c(c).cast("string"), 1, 4).try_cast("int")
 
 
-def blank_or_null(c: str, dtype) -> Column:
+def blank_or_null(c: str, dtype, blanks=("", "..")) -> Column:
     """NULL-or-blank test that is valid for any column type under ANSI.
 
-    Strings also count ``""`` and ``".."`` after trimming; other types can only
-    be NULL (comparing them with text would raise a cast error).
+    Strings also count the ``blanks`` texts after trimming; other types can
+    only be NULL (comparing them with text would raise a cast error).
     """
     if isinstance(dtype, StringType):
-        return F.col(c).isNull() | F.trim(F.col(c)).isin("", "..")
+        return F.col(c).isNull() | F.trim(F.col(c)).isin(*blanks)
     return F.col(c).isNull()
 
 

@@ -18,32 +18,40 @@ from pyspark.sql.types import NumericType, StringType
 from odpanel.functions import blank_or_null, year_prefix
 
 
-def long_view(df: DataFrame, cols=None) -> DataFrame:
-    """(column_name, value_text, value_num, blank) per row and column."""
-    cols = cols or df.columns
+def present(df: DataFrame, cols) -> list:
+    """The listed columns that the frame actually has (optional columns)."""
+    return [c for c in cols if c in df.columns]
+
+
+def long_view(df: DataFrame, cols=None, blanks=("", "..")) -> DataFrame:
+    """(column_name, value_text, value_num, blank) per row and column;
+    ``blanks`` are the texts that count as blank in string columns."""
+    cols = present(df, cols) if cols else df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
     recs = [F.struct(
         F.lit(c).alias("column_name"),
         F.col(c).cast("string").alias("value_text"),
         (F.col(c).cast("double") if isinstance(types[c], NumericType)
          else F.lit(None).cast("double")).alias("value_num"),
-        blank_or_null(c, types[c]).alias("blank")) for c in cols]
+        blank_or_null(c, types[c], blanks).alias("blank")) for c in cols]
     return df.select(F.inline(F.array(*recs)))
 
 
-def long_views(tables: dict, cols: dict | None = None) -> DataFrame:
+def long_views(tables: dict, cols: dict | None = None, blanks: dict | None = None) -> DataFrame:
     """Long views of several tables in one frame, with a ``dataset`` column:
     profiling many tables then costs one shuffle per statistic, not one per
-    table."""
-    cols = cols or {}
-    return union_all(long_view(df, cols.get(name)).select(F.lit(name).alias("dataset"), "*")
+    table. ``blanks`` maps dataset -> blank texts (default ``""``, ``".."``)."""
+    cols, blanks = cols or {}, blanks or {}
+    return union_all(long_view(df, cols.get(name), blanks.get(name, ("", "..")))
+                     .select(F.lit(name).alias("dataset"), "*")
                      for name, df in tables.items())
 
 
-def profile_tables(tables: dict, cols: dict | None = None) -> DataFrame:
+def profile_tables(tables: dict, cols: dict | None = None,
+                   blanks: dict | None = None) -> DataFrame:
     """``profile`` of several tables at once: (dataset, column_name, n_rows,
     n_null, n_distinct, min_v, max_v, avg_v) from two aggregates and a join."""
-    lv = long_views(tables, cols)
+    lv = long_views(tables, cols, blanks)
     keys = ["dataset", "column_name"]
     stats = lv.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if("blank").alias("n_null"),
@@ -170,6 +178,6 @@ def is_string(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, StringType)
 
 
-__all__ = ["long_view", "value_counts", "year_counts", "distinct_values", "profile_nulls",
+__all__ = ["present", "long_view", "long_views", "profile_tables", "describe_values", "value_counts", "year_counts", "distinct_values", "profile_nulls",
            "profile_distinct", "profile_numeric", "profile", "describe_column",
            "describe_table", "union_all", "labelled", "year_prefix", "is_string"]

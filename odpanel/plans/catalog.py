@@ -208,6 +208,10 @@ NUMERIC_COLUMNS = {
     "cost": ["fuel_price_per_litre", "personal_conduccion_eur", "dietas_conductor_eur",
              "seguros_eur", "costes_fiscales_eur", "combustible_eur"],
 }
+# Blank texts of the null/blank counts: the corridors profile also treats the
+# suppression mark ".." as blank, the other tables only the empty string.
+BLANKS = {"corridors": ("", ".."), "regional": ("",), "cargo": ("",), "price_index": ("",),
+          "distance_bands": ("",), "cost": ("",)}
 STATS_COLUMNS = [("cost", "fuel_price_per_litre"), ("cost", "combustible_eur"),
                  ("cost", "personal_conduccion_eur"), ("cost", "peajes_eur"),
                  ("price_index", "price_index"), ("corridors", "value")]
@@ -244,7 +248,7 @@ def q_distinct_values(spark, d):
 
 @query("profile_nulls")
 def q_profile_nulls(spark, d):
-    lv = profile.long_views({ds: raw(spark, d, ds) for ds in panels.RAW})
+    lv = profile.long_views({ds: raw(spark, d, ds) for ds in panels.RAW}, blanks=BLANKS)
     return lv.groupBy("dataset", "column_name").agg(F.count_if("blank").alias("n_null"))
 
 
@@ -265,7 +269,7 @@ def q_profile_numeric(spark, d):
 
 @query("profile_summary")
 def q_profile_summary(spark, d):
-    return profile.profile_tables({ds: raw(spark, d, ds) for ds in panels.RAW})
+    return profile.profile_tables({ds: raw(spark, d, ds) for ds in panels.RAW}, blanks=BLANKS)
 
 
 @query("stats_mmm")
@@ -372,8 +376,8 @@ from odpanel.sources import grid as GS  # noqa: E402
 
 
 def _n_regions(src) -> int:
-    """Size of the nation dimension (a bounded count of a dimension table)."""
-    return src.nations().count()
+    """Size of the nation dimension (the count of its broadcast size check)."""
+    return src.n_nations()
 
 
 @query("clean_cells")

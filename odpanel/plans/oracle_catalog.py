@@ -93,8 +93,9 @@ _RAW_COLS = {
 }
 
 
-def _blank(c, kind):
-    return (f"{c} IS NULL OR trim({c}) IN ('', '..')" if kind == "str" else f"{c} IS NULL")
+def _blank(c, kind, ds="corridors"):
+    texts = "'', '..'" if ds == "corridors" else "''"
+    return (f"{c} IS NULL OR trim({c}) IN ({texts})" if kind == "str" else f"{c} IS NULL")
 
 
 def _ndist(c):
@@ -125,7 +126,7 @@ _add("distinct_values", " UNION ALL ".join(
     f"SELECT DISTINCT '{ds}' AS dataset, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value "
     f"FROM {ds}_raw" for ds, cols in _DIST.items() for c in cols))
 _add("profile_nulls", " UNION ALL ".join(
-    f"SELECT '{ds}' AS dataset, '{c}' AS column_name, count(*) FILTER (WHERE {_blank(c, k)}) "
+    f"SELECT '{ds}' AS dataset, '{c}' AS column_name, count(*) FILTER (WHERE {_blank(c, k, ds)}) "
     f"AS n_null FROM {ds}_raw" for ds, cols in _RAW_COLS.items() for c, k in cols))
 _add("profile_distinct", " UNION ALL ".join(
     f"SELECT '{ds}' AS dataset, '{c}' AS column_name, {_ndist(c)} AS n_distinct FROM {ds}_raw"
@@ -142,7 +143,7 @@ _add("profile_numeric", " UNION ALL ".join(
     for ds, cols in _NUMC.items() for c in cols), ["min_v", "max_v", "avg_v"])
 _add("profile_summary", " UNION ALL ".join(
     f"SELECT '{ds}' AS dataset, '{c}' AS column_name, count(*) AS n_rows, "
-    f"count(*) FILTER (WHERE {_blank(c, k)}) AS n_null, {_ndist(c)} AS n_distinct, "
+    f"count(*) FILTER (WHERE {_blank(c, k, ds)}) AS n_null, {_ndist(c)} AS n_distinct, "
     f"{_num(c, k, 'min')} AS min_v, {_num(c, k, 'max')} AS max_v, {_num(c, k, 'avg')} AS avg_v "
     f"FROM {ds}_raw" for ds, cols in _RAW_COLS.items() for c, k in cols),
     ["min_v", "max_v", "avg_v"])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odpanel.functions import safe_div
-from odpanel.sources.tables import broadcast_if_small, read_table
+from odpanel.sources.tables import broadcast_if_small, checked_broadcast, read_table
 
 # Fixed parameters of the derivation (see FIXTURES.md family B).
 MIN_TONNES_COUNT = 5          # tonnes suppressed (NULL) below this many lines
@@ -322,6 +322,7 @@ class PanelSource:
         self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
         self._cubes: dict[str, DataFrame] = {}
         self._nations = None
+        self._n_nations = None
 
     def _cube(self, name, build):
         if name not in self._cubes:
@@ -344,9 +345,16 @@ class PanelSource:
 
     def nations(self) -> DataFrame:
         if self._nations is None:
-            self._nations = _nations(self.spark, self.sf_dir)
+            n = read_table(self.spark, self.sf_dir, "nation",
+                           ["n_nationkey", "n_name", "n_regionkey"])
+            self._nations, self._n_nations = checked_broadcast(n, N_NATIONS_MAX)
         return self._nations
 
+    def n_nations(self) -> int:
+        """Rows of the nation dimension (from the broadcast size check)."""
+        self.nations()
+        return self._n_nations
+
     def raw(self, name: str) -> DataFrame:
         return RAW[name](self)
 

@@ -31,12 +31,17 @@ def conf_or_default(spark: SparkSession, key: str, default: str) -> str:
     return spark.conf.get(key, default)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after checking the row count against a bound.
+def checked_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
+    """(frame, rows seen): broadcast hint only after checking the row count
+    against a bound.
 
     The check is a bounded job (``limit(max_rows + 1).count()``); beyond the
     bound the frame is returned unhinted and the join shuffles (or AQE still
     broadcasts it if its materialized size turns out small).
     """
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return (F.broadcast(df) if n <= max_rows else df), n
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    return checked_broadcast(df, max_rows)[0]
