@@ -5,7 +5,8 @@ runs and a stray sentinel cannot turn a numeric column into strings.
 """
 
 from pyspark.sql.types import (BinaryType, DateType, DoubleType, IntegerType,
-                               StringType, StructField, StructType)
+                               LongType, StringType, StructField, StructType,
+                               TimestampNTZType)
 
 
 def _st(*fields):
@@ -60,3 +61,23 @@ SCHEMAS = {
     "corridors": CORRIDORS, "regional": REGIONAL, "cargo": CARGO,
     "price_index": PRICE_INDEX, "distance_bands": DISTANCE_BANDS, "cost": COST,
 }
+
+
+# The star-schema source tables. Declaring them skips the footer-reading
+# schema-inference job that ``spark.read.parquet`` runs for every read.
+_I, _L, _D, _S, _T = IntegerType(), LongType(), DoubleType(), StringType(), TimestampNTZType()
+SOURCE_TABLES = {
+    "region": _st(("r_regionkey", _I), ("r_name", _S)),
+    "nation": _st(("n_nationkey", _I), ("n_name", _S), ("n_regionkey", _I)),
+    "customer": _st(("c_custkey", _L), ("c_name", _S), ("c_nationkey", _I), ("c_acctbal", _D),
+                    ("c_mktsegment", _S)),
+    "supplier": _st(("s_suppkey", _L), ("s_name", _S), ("s_nationkey", _I), ("s_acctbal", _D)),
+    "part": _st(("p_partkey", _L), ("p_name", _S), ("p_brand", _S), ("p_type", _S),
+                ("p_size", _I), ("p_retailprice", _D)),
+    "orders": _st(("o_orderkey", _L), ("o_custkey", _L), ("o_orderstatus", _S),
+                  ("o_totalprice", _D), ("o_orderdate", _T), ("o_orderpriority", _S)),
+    "lineitem": _st(("l_orderkey", _L), ("l_partkey", _L), ("l_suppkey", _L),
+                    ("l_linenumber", _I), ("l_quantity", _D), ("l_extendedprice", _D),
+                    ("l_discount", _D), ("l_tax", _D), ("l_returnflag", _S),
+                    ("l_linestatus", _S), ("l_shipdate", _T)),
+}

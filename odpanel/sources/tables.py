@@ -15,7 +15,13 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of a source table; known tables are read with their
+    declared schema (no inference job), others with the footer schema."""
+    from odpanel.schemas import SOURCE_TABLES
+    r = spark.read
+    if name in SOURCE_TABLES:
+        r = r.schema(SOURCE_TABLES[name])
+    df = r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
 
 
