@@ -12,7 +12,7 @@ from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import StringType
 
 # Text that marks a suppressed or empty cell in the source grids.
 SENTINELS = ["", "..", ".", "-"]
@@ -82,6 +82,3 @@ def blank_or_null(c: str, dtype, blanks=("", "..")) -> Column:
         return F.col(c).isNull() | F.trim(F.col(c)).isin(*blanks)
     return F.col(c).isNull()
 
-
-def is_numeric(dtype) -> bool:
-    return isinstance(dtype, NumericType)
