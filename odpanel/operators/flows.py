@@ -93,17 +93,49 @@ def positive_flows(cargo: DataFrame, direction: str = "expedido",
         "year", "region", "cargo_class", F.col("value").alias("tonnes"))
 
 
-def cargo_shares(cargo: DataFrame, direction: str = "expedido",
-                 metric: str = "tonnes_thousands") -> DataFrame:
-    """Each class's share of its (year, region) total.
+SALTS = 16
+
+
+def with_group_total(df: DataFrame, keys, value: str, out: str = "total",
+                     salts: int = SALTS) -> DataFrame:
+    """Attach the per-key total of ``value`` to every row, skew-safe.
+
+    The totals are a partially-aggregated group-by (one row per key). Joining
+    them back is salted: each detail row gets a deterministic salt (a hash of
+    the row, mod ``salts``) and the totals are replicated once per salt, so a
+    key holding a third of all rows is spread over ``salts`` join tasks.
+    Every row matches exactly one replica, so the result is the same whatever
+    the salt (also on task retries). AQE still broadcasts small totals. AQE's
+    own skew split cannot help here: it only splits joins whose inputs are
+    both plain shuffles, and the totals side is an aggregate.
+    """
+    keys = list(keys)
+    tot = df.groupBy(*keys).agg(F.sum(value).alias(out))
+    return salted_lookup(df, tot, keys, salts=salts)
 
-    Totals are a partially-aggregated group-by joined back on (year, region):
-    a hot region is pre-aggregated per task before the shuffle, and AQE
-    broadcasts the totals or splits skewed join partitions at runtime.
+
+def salted_lookup(detail: DataFrame, lookup: DataFrame, keys, how: str = "inner",
+                  salts: int = SALTS) -> DataFrame:
+    """Join a detail table to a lookup with (at most) one row per key,
+    spreading each key's detail rows over ``salts`` join tasks.
+
+    Detail rows get a deterministic salt (hash of the row mod ``salts``); the
+    lookup is replicated once per salt. Each detail row meets exactly one
+    replica, so inner and left joins return exactly the unsalted result.
     """
+    keys = list(keys)
+    rep = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = detail.withColumn(
+        "_salt", F.pmod(F.xxhash64(*detail.columns), F.lit(salts)).cast("int"))
+    return salted.join(rep, keys + ["_salt"], how).drop("_salt")
+
+
+def cargo_shares(cargo: DataFrame, direction: str = "expedido",
+                 metric: str = "tonnes_thousands") -> DataFrame:
+    """Each class's share of its (year, region) total (salted join back to
+    the totals, see ``with_group_total``)."""
     t = positive_flows(cargo, direction, metric)
-    tot = t.groupBy("year", "region").agg(F.sum("tonnes").alias("total"))
-    return t.join(tot, ["year", "region"]).select(
+    return with_group_total(t, ["year", "region"], "tonnes").select(
         "year", "region", "cargo_class", "tonnes", "total",
         safe_div("tonnes", "total").alias("share"))
 

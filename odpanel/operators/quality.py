@@ -24,13 +24,16 @@ def band_share(df: DataFrame, metric: str = "operations_total", service: str = "
                total_label: str = "Total") -> DataFrame:
     """Each band's share (percent) of the year's ``Total`` band.
 
-    The totals are filtered out and joined back on year (AQE broadcasts them
-    from the measured size) instead of a window over whole years.
+    The totals are filtered out and joined back on year through a salted
+    lookup join (a hot year is spread over many tasks; AQE still broadcasts
+    small totals) instead of a window over whole years.
     """
+    from odpanel.operators.flows import salted_lookup
     x = df.where((F.col("metric") == metric) & (F.col("service_type") == service))
     tot = x.where(F.col("distance_band") == total_label).select(
         "year", F.col("value").alias("total"))
-    return x.where(F.col("distance_band") != total_label).join(tot, "year").select(
+    parts = x.where(F.col("distance_band") != total_label)
+    return salted_lookup(parts, tot, ["year"]).select(
         "year", "distance_band", (safe_div(F.col("value"), F.col("total")) * 100).alias("share_pct"))
 
 
