@@ -62,6 +62,12 @@ def literal_number(raw) -> Column:
     return literal_text(raw).try_cast("double")
 
 
+def literal_bool(raw) -> Column:
+    """``#TRUE#`` / ``#FALSE#`` literal as a boolean (NULL otherwise)."""
+    t = F.trim(_c(raw))
+    return F.when(t == "#TRUE#", F.lit(True)).when(t == "#FALSE#", F.lit(False))
+
+
 def literal_date(raw) -> Column:
     """``#yyyy-mm-dd#`` literal as a date (NULL when it is not a date)."""
     return literal_text(raw).try_cast("date")

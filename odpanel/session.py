@@ -46,8 +46,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder: the session's own setting when present
-    (``spark.checkpoint.dir`` or an already set SparkContext dir); only when
-    unset, as in local tests, a fresh temporary folder."""
+    (``spark.checkpoint.dir`` or an already set SparkContext dir). Only when
+    unset on a local master, as in tests, a fresh temporary folder; unset on
+    a cluster is an error."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -58,6 +59,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cur = sc.getCheckpointDir()
     if cur:
         return cur
+    if not conf_dir and not sc.master.startswith("local"):
+        # never a machine-local folder on a cluster: executors could not read it
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     root = conf_dir or tempfile.mkdtemp(prefix="odpanel-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root

@@ -3,7 +3,8 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from odpanel.functions import (blank_or_null, clean_cell, literal_date, literal_number,
+from odpanel.functions import (blank_or_null, clean_cell, literal_bool, literal_date,
+                               literal_number,
                                literal_text, normalize_label, null_strict_sum, safe_div)
 from odpanel.operators.records import extract_records
 from tests.conftest import rows
@@ -66,3 +67,8 @@ def test_latin1_record_and_short_record(spark):
     assert r.period == datetime.date(2020, 1, 31)
     assert r.km_en_carga == pytest.approx(60000.0)
     assert r.combustible_eur == pytest.approx(0.385 * 0.3 * 120000)
+
+
+def test_boolean_literals(spark):
+    df = spark.createDataFrame([("#TRUE#",), ("#FALSE#",), ("TRUE",), ('"x"',)], "s string")
+    assert [r[0] for r in df.select(literal_bool("s")).collect()] == [True, False, None, None]
