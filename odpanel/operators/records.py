@@ -44,6 +44,38 @@ OUTPUT_ORDER = ["period", "vehicle_type", "km_anual", "pct_carga", "km_en_carga"
                 "combustible_eur"]
 
 
+def _field_parser(lines: dict):
+    def raw_line(name):
+        return F.try_element_at(F.col("lines"), F.lit(lines[name]))
+
+    def field(name, raw=False):
+        r = raw_line(name)
+        if raw or name in TEXT_FIELDS:
+            return r if raw else literal_text(r)
+        if name in DATE_FIELDS:
+            return literal_date(r)
+        return literal_number(r)
+    return field
+
+
+def record_quality(files: DataFrame, lines: dict | None = None,
+                   min_lines: int = MIN_LINES) -> DataFrame:
+    """One row: ``files`` read, ``short_records`` dropped for having fewer
+    than ``min_lines`` lines, and ``bad_fields``: numeric or date lines of
+    complete records that are present but do not parse (NULL in the
+    extraction instead of failing the job). One global aggregate."""
+    lines = lines or RECORD_LINES
+    field = _field_parser(lines)
+    complete = F.size("lines") >= min_lines
+    bad = F.lit(0)
+    for n in lines:
+        if n not in TEXT_FIELDS:
+            bad = bad + (complete & field(n, raw=True).isNotNull() & field(n).isNull()).cast("int")
+    return record_lines(files).agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(~complete).alias("short_records"),
+        F.coalesce(F.sum(bad), F.lit(0)).cast("long").alias("bad_fields"))
+
+
 def record_lines(df: DataFrame, content: str = "content", charset: str = "ISO-8859-1") -> DataFrame:
     """Add ``lines``: the decoded content split on any line ending."""
     return df.withColumn("lines", F.split(F.decode(F.col(content), charset), r"\r\n|\n|\r"))
@@ -57,19 +89,13 @@ def extract_records(files: DataFrame, lines: dict | None = None,
     quotes, ``#date#`` fields become dates, the rest are parsed as doubles
     (NULL when they do not parse). Derived measures: km in load =
     km * load% / 100 and fuel cost = price per litre * coefficient * km.
-    Sorted by period.
+    Sorted by period. Fields that do not parse are NULL here and counted by
+    ``record_quality``.
     """
     lines = lines or RECORD_LINES
+    field = _field_parser(lines)
     x = record_lines(files).where(F.size("lines") >= min_lines)
 
-    def field(name):
-        raw = F.element_at(F.col("lines"), lines[name])
-        if name in TEXT_FIELDS:
-            return literal_text(raw)
-        if name in DATE_FIELDS:
-            return literal_date(raw)
-        return literal_number(raw)
-
     rec = x.select(*[field(n).alias(n) for n in lines])
     rec = rec.withColumns({
         "km_en_carga": F.col("km_anual") * F.col("pct_carga") / 100.0,

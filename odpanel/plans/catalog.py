@@ -322,7 +322,7 @@ def q_dq_trend(spark, d):
 
 
 # ---- sources, sinks, records ---------------------------------------------------------
-from odpanel.operators.records import extract_records  # noqa: E402
+from odpanel.operators.records import extract_records, record_quality  # noqa: E402
 from odpanel.schemas import CORRIDORS  # noqa: E402
 from odpanel.session import shared_dir  # noqa: E402
 from odpanel.sources import files, records  # noqa: E402
@@ -335,6 +335,12 @@ def q_obs_extract(spark, d):
     return extract_records(records.cost_records(raw(spark, d, "cost")))
 
 
+@query("obs_quality")
+def q_obs_quality(spark, d):
+    """Counts of the record extraction: files, short records, unparsable fields."""
+    return record_quality(records.cost_records(raw(spark, d, "cost")))
+
+
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, d):
     """Cleaned corridors written as header CSV to shared storage, read back

@@ -200,6 +200,9 @@ _add("obs_extract", """
       "dietas_conductor_eur", "seguros_eur", "costes_fiscales_eur", "peajes_eur", "urea_eur",
       "costes_indirectos_eur", "vehicle_price_eur", "semitrailer_price_eur",
       "fuel_price_per_litre", "fuel_consumption_coeff", "interest_rate_pct", "combustible_eur"])
+_add("obs_quality", "SELECT count(*) AS files, "
+     "count(*) FILTER (WHERE period = DATE '1995-01-01') AS short_records, "
+     "CAST(0 AS BIGINT) AS bad_fields FROM cost_raw")
 _add("csv_roundtrip", "SELECT * FROM corridors", ["value"])
 _add("files_by_year", "SELECT * FROM corridors", ["value"])
 _add("scan_table", "SELECT * FROM price_index", ["price_index"])

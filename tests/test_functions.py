@@ -72,3 +72,18 @@ def test_latin1_record_and_short_record(spark):
 def test_boolean_literals(spark):
     df = spark.createDataFrame([("#TRUE#",), ("#FALSE#",), ("TRUE",), ('"x"',)], "s string")
     assert [r[0] for r in df.select(literal_bool("s")).collect()] == [True, False, None, None]
+
+
+def test_record_parse_failures_are_counted(spark):
+    from odpanel.operators.records import record_quality
+    lines = ["0"] * 256
+    lines[134] = "abc"          # km: not a number -> NULL, counted
+    lines[255] = "#2020-01-31#"
+    df = spark.createDataFrame(
+        [("a.obs", bytearray("\n".join(lines).encode("latin-1"))),
+         ("b.obs", bytearray("\n".join(lines[:10]).encode("latin-1")))],
+        "path string, content binary")
+    out = extract_records(df).collect()
+    assert len(out) == 1 and out[0].km_anual is None
+    m = record_quality(df).first()
+    assert (m.files, m.short_records, m.bad_fields) == (2, 1, 1)
