@@ -71,14 +71,53 @@ def yearly_flows(wide: DataFrame) -> DataFrame:
         safe_div("ops_empty", "ops_total", positive_only=True).alias("empty_year"))
 
 
+def yearly_flows_canonical(df: DataFrame, year: str = "year", origin: str = "origin_region",
+                           dest: str = "destination_region", metric: str = "metric",
+                           value: str = "value") -> DataFrame:
+    """``yearly_flows(wide_flows(df))`` in one shuffle.
+
+    Rows are grouped by the unordered pair (year, least, greatest); one
+    partially-aggregated pass pivots the metrics of both directions, then
+    each existing direction is emitted as a row carrying the other
+    direction's tonnes. A self-loop is emitted once, as its own reverse.
+    """
+    o, d = F.col(origin), F.col(dest)
+    lo, hi = F.least(o, d), F.greatest(o, d)
+    names = {"ops_total": OPS_TOTAL, "ops_empty": OPS_EMPTY, "tonnes": TONNES}
+
+    def pick(side, m):
+        return F.max(F.when(side & (F.col(metric) == m), F.col(value)))
+    fwd, rev = o == lo, o == hi
+    g = df.groupBy(F.col(year).alias("year"), lo.alias("_lo"), hi.alias("_hi")).agg(
+        *[pick(fwd, m).alias(f"f_{k}") for k, m in names.items()],
+        *[pick(rev, m).alias(f"r_{k}") for k, m in names.items()],
+        F.max(F.when(fwd, F.lit(1))).alias("has_f"), F.max(F.when(rev, F.lit(1))).alias("has_r"))
+
+    def side(a, b, mine, other, keep):
+        return F.struct(F.col(a).alias("origin"), F.col(b).alias("destination"),
+                        *[F.col(f"{mine}_{k}").alias(k) for k in names],
+                        F.col(f"{other}_tonnes").alias("tonnes_rev"), keep.alias("keep"))
+    rows = F.array(side("_lo", "_hi", "f", "r", F.col("has_f") == 1),
+                   side("_hi", "_lo", "r", "f", (F.col("has_r") == 1) & (F.col("_lo") != F.col("_hi"))))
+    y = (g.select("year", F.inline(rows)).where("keep")
+         .withColumn("tonnes_rev", F.coalesce("tonnes_rev", F.lit(0.0))))
+    both = F.col("tonnes") + F.col("tonnes_rev")
+    return y.select(
+        "year", "origin", "destination", "ops_total", "ops_empty", "tonnes", "tonnes_rev",
+        F.when(both > 0, safe_div(F.abs(F.col("tonnes") - F.col("tonnes_rev")), both))
+         .alias("asym_year"),
+        safe_div("ops_empty", "ops_total", positive_only=True).alias("empty_year"))
+
+
 def pair_metrics(corridors: DataFrame, **cols) -> DataFrame:
     """(origin, destination, asymmetry, empty_rate, instability).
 
     Means of the yearly ratios (NULL years skipped) and the coefficient of
     variation of yearly tonnes (sample stddev; one year gives NULL), in one
-    aggregate.
+    aggregate over the one-shuffle canonical-pair yearly rows: two shuffles
+    in all, both partially aggregated.
     """
-    y = yearly_flows(wide_flows(corridors, **cols))
+    y = yearly_flows_canonical(corridors, **cols)
     return y.groupBy("origin", "destination").agg(
         F.avg("asym_year").alias("asymmetry"),
         F.avg("empty_year").alias("empty_rate"),

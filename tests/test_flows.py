@@ -109,3 +109,22 @@ def test_ranking_bounds_and_order(spark):
         for m in ("asymmetry_n", "empty_rate_n", "instability_n", "concentration_n"):
             v = getattr(x, m)
             assert v is None or 0.0 <= v <= 1.0
+
+
+def test_canonical_pair_variant_equals_window_form(spark):
+    from odpanel.operators.flows import wide_flows, yearly_flows, yearly_flows_canonical
+    from odpanel.sources.panels import PanelSource
+    c = PanelSource(spark, "/root/testdata/sf0.001").clean("corridors")
+    a = yearly_flows(wide_flows(c))
+    b = yearly_flows_canonical(c)
+    key = lambda r: (r.year, r.origin, r.destination)
+    ra, rb = sorted(a.collect(), key=key), sorted(b.collect(), key=key)
+    assert len(ra) == len(rb) > 0
+    for x, y in zip(ra, rb):
+        assert key(x) == key(y)
+        for f in ("ops_total", "ops_empty", "tonnes", "tonnes_rev", "asym_year", "empty_year"):
+            assert x[f] == pytest.approx(y[f]) if x[f] is not None else y[f] is None
+
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert exchanges(b) < exchanges(a)
