@@ -41,3 +41,31 @@ def normalize_label(raw, rules: dict | None = None, total_label: str = TOTAL_LAB
     for prefix, canon in rules.items():
         expr = expr.when(s.startswith(prefix), F.lit(canon))
     return expr.otherwise(s)
+
+
+def normalize_with_rule_table(df, col: str, rules, out: str = "label",
+                              total_label: str = TOTAL_LABEL):
+    """``normalize_label`` for rule tables too large for a CASE expression.
+
+    ``rules`` is a DataFrame (prefix, canon). The distinct labels are
+    exploded into their prefixes (up to the longest rule prefix, a scalar
+    subquery), equi-joined with the rules on prefix, and the longest match
+    wins (``max_by``). The label -> canonical map is joined back through a
+    salted lookup, so a label carried by a third of all rows still spreads
+    over many tasks. Adds ``out``; other columns are unchanged.
+    """
+    from odpanel.operators.flows import salted_lookup
+    raw = F.trim(F.col(col))
+    maxlen = rules.select(F.max(F.length("prefix"))).scalar()
+    labels = df.select(raw.alias("_raw")).distinct().where(F.col("_raw").isNotNull())
+    prefixes = F.transform(F.sequence(F.lit(1), F.col("_n")),
+                           lambda i: F.substr(F.col("_raw"), F.lit(1), i))
+    cand = (labels.where(F.length("_raw") > 0)
+            .withColumn("_n", F.least(F.length("_raw"), maxlen))
+            .select("_raw", F.explode(prefixes).alias("prefix")))
+    best = cand.join(rules, "prefix").groupBy("_raw").agg(
+        F.max_by("canon", F.length("prefix")).alias("_canon"))
+    x = salted_lookup(df.withColumn("_raw", raw), best, ["_raw"], how="left")
+    lab = F.when(F.col("_raw") == total_label, F.lit(None).cast("string")).otherwise(
+        F.coalesce(F.col("_canon"), F.col("_raw")))
+    return x.withColumn(out, lab).drop("_raw", "_canon")

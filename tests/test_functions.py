@@ -87,3 +87,20 @@ def test_record_parse_failures_are_counted(spark):
     assert len(out) == 1 and out[0].km_anual is None
     m = record_quality(df).first()
     assert (m.files, m.short_records, m.bad_fields) == (2, 1, 1)
+
+
+def test_rule_table_matches_case_rules(spark):
+    from odpanel.functions.labels import REGION_PREFIXES, normalize_with_rule_table
+    labels = ["Castilla-La Mancha", "Castilla y León", "País Vasco", "Balears, Illes", "TOTAL",
+              "Elsewhere", " Madrid ", "", "Pa"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(labels)] + [(99, None)],
+                               "k int, t string")
+    rules = spark.createDataFrame(list(REGION_PREFIXES.items()), "prefix string, canon string")
+    a = {r.k: r.label for r in normalize_with_rule_table(df, "t", rules).collect()}
+    b = {r.k: r.label for r in df.select("k", normalize_label("t").alias("label")).collect()}
+    assert a == b
+    # longest prefix wins when rules overlap
+    rules2 = spark.createDataFrame([("Castilla", "C"), ("Castilla y", "CyL")],
+                                   "prefix string, canon string")
+    c = {r.k: r.label for r in normalize_with_rule_table(df, "t", rules2).collect()}
+    assert c[0] == "C" and c[1] == "CyL"
