@@ -381,6 +381,15 @@ from odpanel.operators import grid as G  # noqa: E402
 from odpanel.sources import grid as GS  # noqa: E402
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """Materialize a derived input once (reliable checkpoint in the shared
+    checkpoint folder), as the stored workbooks would be: every branch that
+    reads it scans the checkpoint instead of re-deriving it."""
+    from odpanel.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _n_regions(src) -> int:
     """Size of the nation dimension (the count of its broadcast size check)."""
     return src.n_nations()
@@ -388,13 +397,13 @@ def _n_regions(src) -> int:
 
 @query("clean_cells")
 def q_clean_cells(spark, d):
-    return G.cell_values(GS.corridor_cells(d, _n_regions(d)))
+    return G.cell_values(_stored(GS.corridor_cells(d, _n_regions(d))))
 
 
 @query("normalize_labels")
 def q_normalize_labels(spark, d):
     from odpanel.functions import normalize_label
-    cells = GS.regional_cells(d, _n_regions(d))
+    cells = _stored(GS.regional_cells(d, _n_regions(d)))
     return cells.where(F.col("col") == 0).select(
         "file", "sheet", "row", F.col("text").alias("raw_label"),
         normalize_label(F.col("text")).alias("label"))
@@ -415,7 +424,7 @@ def q_od_matrix_long(spark, d):
     n = _n_regions(d)
     split = GS.matrix_split(n)
     sheets = {code: (code + "s", m) for m, code in GS.CORRIDOR_SHEETS.items()}
-    m = G.od_matrix(GS.corridor_cells(d, n), sheets, GS.MATRIX_FIRST_ROW, n,
+    m = G.od_matrix(_stored(GS.corridor_cells(d, n)), sheets, GS.MATRIX_FIRST_ROW, n,
                     list(range(1, split + 1)), list(range(0, n - split)))
     labels = d.nations().select(F.col("n_nationkey").alias("idx"), F.col("n_name").alias("name"))
     return G.od_long(m, labels, GS.EXCLUDED_REGIONS)
@@ -423,7 +432,7 @@ def q_od_matrix_long(spark, d):
 
 @query("price_from_grid")
 def q_price_from_grid(spark, d):
-    cells = GS.price_cells(d)
+    cells = _stored(GS.price_cells(d))
     cols = {i + 2: b for i, b in enumerate(GS.PRICE_BANDS)}
     a = G.quarterly_panel(cells.where(F.col("file") == "prices_a"), GS.PRICE_SHEET,
                           GS.PRICE_FIRST_ROW, GS.QUARTER_LABELS, cols, 1995, 1996)
@@ -437,7 +446,7 @@ def q_regional_from_grid(spark, d):
     n = _n_regions(d)
     sheets = {code: m for m, code in GS.REGIONAL_SHEETS.items()}
     cols = {c: t for t, c in GS.DISPLACEMENT_COLS.items()}
-    return G.labeled_rows(GS.regional_cells(d, n), sheets, GS.REGIONAL_FIRST_ROW,
+    return G.labeled_rows(_stored(GS.regional_cells(d, n)), sheets, GS.REGIONAL_FIRST_ROW,
                           GS.REGIONAL_FIRST_ROW + n + 1, cols)
 
 
@@ -445,11 +454,11 @@ def q_regional_from_grid(spark, d):
 def q_bands_from_grid(spark, d):
     sheets = {code: m for m, code in GS.BAND_SHEETS.items()}
     cols = {c: b for b, c in GS.BAND_COLS.items()}
-    return G.sectioned_rows(GS.bands_cells(d), sheets, GS.SECTIONS, cols, 1995, 2001)
+    return G.sectioned_rows(_stored(GS.bands_cells(d)), sheets, GS.SECTIONS, cols, 1995, 2001)
 
 
 def _cargo_blocks(d):
-    cells = GS.cargo_cells(d, _n_regions(d))
+    cells = _stored(GS.cargo_cells(d, _n_regions(d)))
     return cells, G.find_blocks(cells, GS.BLOCK_FIRST_ROW, GS.BLOCK_MARKER,
                                 sheets=GS.cargo_block_sheets())
 
