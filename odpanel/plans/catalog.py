@@ -11,11 +11,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructType
 
 from odpanel.operators import cleaning, flows, index, normalize
 from odpanel.plans import ranking
 from odpanel.sources import panels
+from odpanel.operators import grid as G
+from odpanel.operators import profile, quality
+from odpanel.operators.records import extract_records, record_quality
+from odpanel.schemas import CORRIDORS
+from odpanel.session import shared_dir
+from odpanel.sources import files, records
+from odpanel.sources import grid as GS
+from odpanel.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -189,7 +197,6 @@ def q_shock_counts(spark, d):
 
 
 # ---- profiling -------------------------------------------------------------------
-from odpanel.operators import profile, quality  # noqa: E402
 
 FREQ_COLUMNS = [("corridors", "metric"), ("regional", "displacement_type"),
                 ("cargo", "cargo_class"), ("price_index", "distance_band"),
@@ -322,11 +329,6 @@ def q_dq_trend(spark, d):
 
 
 # ---- sources, sinks, records ---------------------------------------------------------
-from odpanel.operators.records import extract_records, record_quality  # noqa: E402
-from odpanel.schemas import CORRIDORS  # noqa: E402
-from odpanel.session import shared_dir  # noqa: E402
-from odpanel.sources import files, records  # noqa: E402
-from odpanel.sources.tables import read_table  # noqa: E402
 
 
 @query("obs_extract")
@@ -357,7 +359,7 @@ def q_files_by_year(spark, d):
     path = shared_dir(spark, "files_by_year")
     c = clean(spark, d, "corridors")
     c.write.mode("overwrite").option("header", True).partitionBy("year").csv(path)
-    no_year = CORRIDORS.__class__([f for f in CORRIDORS.fields if f.name != "year"])
+    no_year = StructType([f for f in CORRIDORS.fields if f.name != "year"])
     return files.read_by_year(spark, path, no_year, r"year=(\d{4})")
 
 
@@ -377,8 +379,6 @@ def q_proj_alias(spark, d):
 
 
 # ---- grids --------------------------------------------------------------------------
-from odpanel.operators import grid as G  # noqa: E402
-from odpanel.sources import grid as GS  # noqa: E402
 
 
 def _stored(df: DataFrame) -> DataFrame:
