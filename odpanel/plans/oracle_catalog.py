@@ -253,3 +253,12 @@ _add("block_detect", """
          16 + 10 * coalesce(n.n_nationkey // 4, 7) AS row, c.region AS region
   FROM cargo_raw c LEFT JOIN nation n ON c.region = n.n_name""")
 _add("block_extract", "SELECT * FROM cargo_raw", ["value"])
+
+# ---- describe ---------------------------------------------------------------------
+# DuckDB type names mapped to Spark's DESCRIBE names (the only types the panel has).
+ORACLE["describe_table"] = f"""
+  SELECT column_name AS col_name,
+         CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+                          WHEN 'DOUBLE' THEN 'double' ELSE lower(column_type) END AS data_type,
+         CAST(NULL AS VARCHAR) AS comment
+  FROM (DESCRIBE ({sql("SELECT * FROM corridors")}))"""
