@@ -279,6 +279,13 @@ def q_profile_summary(spark, d):
     return profile.profile_tables({ds: raw(spark, d, ds) for ds in panels.RAW}, blanks=BLANKS)
 
 
+@query("profile_summary_clean")
+def q_profile_summary_clean(spark, d):
+    """The same profile over the cleaned panels (the cleaned cost table has
+    four columns fewer: only present columns are profiled)."""
+    return profile.profile_tables({ds: clean(spark, d, ds) for ds in panels.RAW}, blanks=BLANKS)
+
+
 @query("stats_mmm")
 def q_stats_mmm(spark, d):
     vals = profile.union_all(
