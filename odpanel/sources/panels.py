@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odpanel.functions import safe_div
+from odpanel.operators.cleaning import YEAR_MAX, YEAR_MIN
 from odpanel.sources.tables import broadcast_if_small, checked_broadcast, read_table
 
 # Fixed parameters of the derivation (see FIXTURES.md family B).
@@ -62,17 +63,31 @@ COST_COMBOS = [
 ]
 
 
+def _date_window(col: str, years):
+    """Filter on a raw date/timestamp column for an inclusive year window,
+    written as a range on the column itself so it reaches the parquet scan
+    (``PushedFilters``; row-group statistics prune at scale)."""
+    if years is None:
+        return F.lit(True)
+    lo, hi = years
+    c = F.col(col)
+    return (c >= F.lit(f"{lo:04d}-01-01 00:00:00").cast("timestamp_ntz")) & (
+        c < F.lit(f"{hi + 1:04d}-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def _nations(spark, sf_dir):
     n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     return broadcast_if_small(n, N_NATIONS_MAX)
 
 
-def flow_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(year, o_nk, d_nk, p_type) -> n_ops, n_empty, qty, price (decimal)."""
+def flow_cube(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
+    """(year, o_nk, d_nk, p_type) -> n_ops, n_empty, qty, price (cents),
+    optionally restricted to an order-year window at the orders scan."""
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
                      "l_extendedprice", "l_returnflag"])
-    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"]
+                        ).where(_date_window("o_orderdate", years))
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"])
@@ -210,10 +225,12 @@ def _band_label(band_no):
     return F.concat(F.lit("band_"), band_no.cast("string"))
 
 
-def ship_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(year, q, band_no, flag, status) measures of lineitem ⋈ part by ship date."""
+def ship_cube(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
+    """(year, q, band_no, status) measures of lineitem ⋈ part by ship date,
+    optionally restricted to a ship-year window at the lineitem scan."""
     li = read_table(spark, sf_dir, "lineitem",
-                    ["l_partkey", "l_quantity", "l_extendedprice", "l_linestatus", "l_shipdate"])
+                    ["l_partkey", "l_quantity", "l_extendedprice", "l_linestatus", "l_shipdate"]
+                    ).where(_date_window("l_shipdate", years))
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_size"])
     j = li.join(part, li.l_partkey == part.p_partkey)
     return j.groupBy(
@@ -261,12 +278,14 @@ def distance_bands_raw(src: "PanelSource") -> DataFrame:
                         "metric", "value")
 
 
-def cost_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cost_cube(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
     """Per ship (year, quarter): the cost-model measures. One scan of lineitem
-    and one partial aggregate, no join."""
+    (optionally restricted to a ship-year window) and one partial aggregate,
+    no join."""
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_quantity", "l_extendedprice", "l_discount", "l_tax",
-                     "l_returnflag", "l_linestatus", "l_shipdate"])
+                     "l_returnflag", "l_linestatus", "l_shipdate"]
+                    ).where(_date_window("l_shipdate", years))
     price, disc, tax = cents("l_extendedprice"), cents("l_discount"), cents("l_tax")
     combo_sums = [
         money(F.sum(F.when((F.col("l_returnflag") == fl) & (F.col("l_linestatus") == st),
@@ -316,32 +335,47 @@ class PanelSource:
     lineage below the cube is cut, so a lost executor never re-runs the big
     join. The cubes are bounded by their key domains (years, quarters,
     nations, part types, bands), not by the number of lineitem rows.
+
+    ``clean(name)`` builds its cube only over the cleaner's year window (the
+    window becomes a date-range filter on the orders / lineitem scan); every
+    cleaned row comes from cube rows of its own year, so the result is the
+    same as cleaning the full panel. ``raw(name)`` uses the full cube.
     """
 
+    # cube and year window each cleaned panel needs (None: all years)
+    CLEAN_WINDOWS = {
+        "corridors": ("flow", (YEAR_MIN, YEAR_MAX)), "regional": ("flow", (YEAR_MIN, YEAR_MAX)),
+        "cargo": ("flow", (YEAR_MIN, YEAR_MAX)), "price_index": ("ship", (YEAR_MIN, YEAR_MAX)),
+        "distance_bands": ("ship", None), "cost": ("cost", (YEAR_MIN, YEAR_MAX)),
+    }
+    BUILDERS = {"flow": flow_cube, "ship": ship_cube, "cost": cost_cube}
+
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
-        self._cubes: dict[str, DataFrame] = {}
+        self._cubes: dict = {}
         self._nations = None
         self._n_nations = None
+        self._window = None   # year window of the panel being derived
 
-    def _cube(self, name, build):
-        if name not in self._cubes:
-            df = build(self.spark, self.sf_dir)
+    def _cube(self, name):
+        key = (name, self._window)
+        if key not in self._cubes:
+            df = self.BUILDERS[name](self.spark, self.sf_dir, years=self._window)
             if self.materialize:
                 from odpanel.session import ensure_checkpoint_dir
                 ensure_checkpoint_dir(self.spark)
                 df = df.checkpoint(eager=True)
-            self._cubes[name] = df
-        return self._cubes[name]
+            self._cubes[key] = df
+        return self._cubes[key]
 
     def flow_cube(self) -> DataFrame:
-        return self._cube("flow", flow_cube)
+        return self._cube("flow")
 
     def ship_cube(self) -> DataFrame:
-        return self._cube("ship", ship_cube)
+        return self._cube("ship")
 
     def cost_cube(self) -> DataFrame:
-        return self._cube("cost", cost_cube)
+        return self._cube("cost")
 
     def nations(self) -> DataFrame:
         if self._nations is None:
@@ -356,8 +390,13 @@ class PanelSource:
         return self._n_nations
 
     def raw(self, name: str) -> DataFrame:
+        self._window = None
         return RAW[name](self)
 
     def clean(self, name: str) -> DataFrame:
         from odpanel.operators.cleaning import CLEANERS
-        return CLEANERS[name](RAW[name](self))
+        self._window = self.CLEAN_WINDOWS[name][1]
+        try:
+            return CLEANERS[name](RAW[name](self))
+        finally:
+            self._window = None

@@ -60,3 +60,11 @@ def test_asymmetry_symmetric_when_both_directions_observed(spark):
             assert r.tonnes_rev == back.tonnes
             checked += 1
     assert checked > 0
+
+
+def test_clean_year_window_reaches_the_scans(spark):
+    from odpanel.sources.panels import cost_cube, flow_cube
+    for build, col in ((flow_cube, "o_orderdate"), (cost_cube, "l_shipdate")):
+        plan = build(spark, SF, years=(1995, 2000))._jdf.queryExecution().executedPlan().toString()
+        pushed = [ln for ln in plan.split("\n") if "PushedFilters" in ln and col in ln]
+        assert pushed and "GreaterThanOrEqual(" + col in pushed[0] and "LessThan(" + col in pushed[0]
