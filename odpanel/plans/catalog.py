@@ -67,6 +67,7 @@ for _name, _key in [("corridors", "clean_corridors"), ("regional", "clean_region
 @query("table_summary")
 def q_table_summary(spark, d):
     """Raw and cleaned row counts and cleaned column count of the six panels."""
+    d.typed_flows = True
     return cleaning.table_summary({n: raw(spark, d, n) for n in panels.RAW})
 
 
@@ -105,6 +106,7 @@ def q_cargo_shares(spark, d):
 
 
 def _scores(spark, d):
+    d.typed_flows = True
     return flows.corridor_scores(clean(spark, d, "corridors"), clean(spark, d, "cargo"))
 
 
@@ -120,6 +122,7 @@ def q_zscore(spark, d):
 
 
 def _ranking(spark, d):
+    d.typed_flows = True
     return ranking.corridor_ranking(clean(spark, d, "corridors"), clean(spark, d, "cargo"))
 
 
@@ -235,6 +238,7 @@ def _stats_source(spark, d, dataset):
 def q_value_counts(spark, d):
     """Frequencies of one key column per panel: the panels' (dataset, column,
     value) rows are unioned and counted in one aggregate."""
+    d.typed_flows = True
     vals = profile.union_all(
         raw(spark, d, ds).select(F.lit(ds).alias("dataset"), F.lit(c).alias("column_name"),
                                  F.col(c).alias("value"))
@@ -249,18 +253,21 @@ def q_year_counts(spark, d):
 
 @query("distinct_values")
 def q_distinct_values(spark, d):
+    d.typed_flows = True
     lv = profile.long_views({ds: raw(spark, d, ds) for ds in DISTINCT_COLUMNS}, DISTINCT_COLUMNS)
     return lv.select("dataset", "column_name", F.col("value_text").alias("value")).distinct()
 
 
 @query("profile_nulls")
 def q_profile_nulls(spark, d):
+    d.typed_flows = True
     lv = profile.long_views({ds: raw(spark, d, ds) for ds in panels.RAW}, blanks=BLANKS)
     return lv.groupBy("dataset", "column_name").agg(F.count_if("blank").alias("n_null"))
 
 
 @query("profile_distinct")
 def q_profile_distinct(spark, d):
+    d.typed_flows = True
     lv = profile.long_views({ds: raw(spark, d, ds) for ds in ("corridors", "regional", "cargo")})
     return (lv.select("dataset", "column_name", "value_text").distinct()
             .groupBy("dataset", "column_name").agg(F.count(F.lit(1)).alias("n_distinct")))
@@ -268,6 +275,7 @@ def q_profile_distinct(spark, d):
 
 @query("profile_numeric")
 def q_profile_numeric(spark, d):
+    d.typed_flows = True
     lv = profile.long_views({ds: raw(spark, d, ds) for ds in NUMERIC_COLUMNS}, NUMERIC_COLUMNS)
     return lv.groupBy("dataset", "column_name").agg(
         F.min("value_num").alias("min_v"), F.max("value_num").alias("max_v"),
@@ -276,6 +284,7 @@ def q_profile_numeric(spark, d):
 
 @query("profile_summary")
 def q_profile_summary(spark, d):
+    d.typed_flows = True
     return profile.profile_tables({ds: raw(spark, d, ds) for ds in panels.RAW}, blanks=BLANKS)
 
 
@@ -283,6 +292,7 @@ def q_profile_summary(spark, d):
 def q_profile_summary_clean(spark, d):
     """The same profile over the cleaned panels (the cleaned cost table has
     four columns fewer: only present columns are profiled)."""
+    d.typed_flows = True
     return profile.profile_tables({ds: clean(spark, d, ds) for ds in panels.RAW}, blanks=BLANKS)
 
 

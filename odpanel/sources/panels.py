@@ -80,9 +80,11 @@ def _nations(spark, sf_dir):
     return broadcast_if_small(n, N_NATIONS_MAX)
 
 
-def flow_cube(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
-    """(year, o_nk, d_nk, p_type) -> n_ops, n_empty, qty, price (cents),
-    optionally restricted to an order-year window at the orders scan."""
+def flow_cube(spark: SparkSession, sf_dir: str, years=None, typed: bool = True) -> DataFrame:
+    """(year, o_nk, d_nk[, p_type]) -> n_ops, n_empty, qty, price (cents),
+    optionally restricted to an order-year window at the orders scan.
+    ``typed=False`` leaves out the part join (a full shuffle of lineitem by
+    part key at scale) for panels that do not need the part type."""
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
                      "l_extendedprice", "l_returnflag"])
@@ -101,9 +103,12 @@ def flow_cube(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
     # the streamed lineitem side, which AQE splits), and it avoids both the
     # sort of a merge join and broadcasting either large side.
     j = (li.join(oc.hint("shuffle_hash"), li.l_orderkey == oc.o_orderkey)
-         .join(supp, li.l_suppkey == supp.s_suppkey)
-         .join(part, li.l_partkey == part.p_partkey))
-    g = j.groupBy("year", F.col("s_nationkey").alias("o_nk"), "d_nk", "p_type").agg(
+         .join(supp, li.l_suppkey == supp.s_suppkey))
+    keys = ["year", F.col("s_nationkey").alias("o_nk"), "d_nk"]
+    if typed:
+        j = j.join(part, li.l_partkey == part.p_partkey)
+        keys.append("p_type")
+    g = j.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_ops"),
         F.count_if(F.col("l_returnflag") == EMPTY_FLAG).alias("n_empty"),
         F.sum("l_quantity").alias("qty"),
@@ -119,7 +124,8 @@ def flow_cube(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
 
 
 def _pair_flows(src):
-    """flow_cube rolled up to (year, o, d) with nation names and regions."""
+    """flow_cube rolled up to (year, o, d) with nation names and regions
+    (a no-op roll-up on the untyped cube)."""
     return src.flow_cube().groupBy("year", "o_nk", "d_nk", "o_name", "d_name", "o_rk", "d_rk").agg(
         F.sum("n_ops").alias("n_ops"), F.sum("n_empty").alias("n_empty"),
         F.sum("qty").alias("qty"), F.sum("price").alias("price"))
@@ -343,6 +349,8 @@ class PanelSource:
     """
 
     # cube and year window each cleaned panel needs (None: all years)
+    # panels that need the part type (the typed flow cube)
+    TYPED = {"cargo"}
     CLEAN_WINDOWS = {
         "corridors": ("flow", (YEAR_MIN, YEAR_MAX)), "regional": ("flow", (YEAR_MIN, YEAR_MAX)),
         "cargo": ("flow", (YEAR_MIN, YEAR_MAX)), "price_index": ("ship", (YEAR_MIN, YEAR_MAX)),
@@ -356,11 +364,16 @@ class PanelSource:
         self._nations = None
         self._n_nations = None
         self._window = None   # year window of the panel being derived
+        self._typed = False   # the panel being derived needs the typed flow cube
+        self.typed_flows = False  # set by queries that read cargo and other flow panels
 
     def _cube(self, name):
-        key = (name, self._window)
+        kw = {}
+        if name == "flow":
+            kw["typed"] = self._typed or self.typed_flows
+        key = (name, self._window, kw.get("typed"))
         if key not in self._cubes:
-            df = self.BUILDERS[name](self.spark, self.sf_dir, years=self._window)
+            df = self.BUILDERS[name](self.spark, self.sf_dir, years=self._window, **kw)
             if self.materialize:
                 from odpanel.session import ensure_checkpoint_dir
                 ensure_checkpoint_dir(self.spark)
@@ -390,13 +403,16 @@ class PanelSource:
         return self._n_nations
 
     def raw(self, name: str) -> DataFrame:
-        self._window = None
-        return RAW[name](self)
+        self._window, self._typed = None, name in self.TYPED
+        try:
+            return RAW[name](self)
+        finally:
+            self._typed = False
 
     def clean(self, name: str) -> DataFrame:
         from odpanel.operators.cleaning import CLEANERS
-        self._window = self.CLEAN_WINDOWS[name][1]
+        self._window, self._typed = self.CLEAN_WINDOWS[name][1], name in self.TYPED
         try:
             return CLEANERS[name](RAW[name](self))
         finally:
-            self._window = None
+            self._window, self._typed = None, False

@@ -68,3 +68,15 @@ def test_clean_year_window_reaches_the_scans(spark):
         plan = build(spark, SF, years=(1995, 2000))._jdf.queryExecution().executedPlan().toString()
         pushed = [ln for ln in plan.split("\n") if "PushedFilters" in ln and col in ln]
         assert pushed and "GreaterThanOrEqual(" + col in pushed[0] and "LessThan(" + col in pushed[0]
+
+
+def test_flow_cube_choice(spark):
+    from odpanel.plans.ranking import corridor_ranking
+    from odpanel.sources.panels import PanelSource
+    src = PanelSource(spark, SF)
+    src.clean("corridors")
+    assert [k for k in src._cubes if k[0] == "flow"] == [("flow", (1995, 2000), False)]
+    both = PanelSource(spark, SF)
+    both.typed_flows = True
+    corridor_ranking(both.clean("corridors"), both.clean("cargo"))
+    assert [k for k in both._cubes if k[0] == "flow"] == [("flow", (1995, 2000), True)]
