@@ -80,7 +80,8 @@ def _nations(spark, sf_dir):
     return broadcast_if_small(n, N_NATIONS_MAX)
 
 
-def flow_cube(spark: SparkSession, sf_dir: str, years=None, typed: bool = True) -> DataFrame:
+def flow_cube(spark: SparkSession, sf_dir: str, years=None, typed: bool = True,
+              nations: DataFrame | None = None) -> DataFrame:
     """(year, o_nk, d_nk[, p_type]) -> n_ops, n_empty, qty, price (cents),
     optionally restricted to an order-year window at the orders scan.
     ``typed=False`` leaves out the part join (a full shuffle of lineitem by
@@ -115,7 +116,7 @@ def flow_cube(spark: SparkSession, sf_dir: str, years=None, typed: bool = True)
         F.sum(cents("l_extendedprice")).alias("price"))
     # names and region keys after the aggregate: the cube is small and the
     # checkpointed result needs no further dimension joins downstream
-    nat = _nations(spark, sf_dir)
+    nat = nations if nations is not None else _nations(spark, sf_dir)
     o = nat.select(F.col("n_nationkey").alias("o_nk"), F.col("n_name").alias("o_name"),
                    F.col("n_regionkey").alias("o_rk"))
     d = nat.select(F.col("n_nationkey").alias("d_nk"), F.col("n_name").alias("d_name"),
@@ -372,6 +373,8 @@ class PanelSource:
         if name == "flow":
             kw["typed"] = self._typed or self.typed_flows
         key = (name, self._window, kw.get("typed"))
+        if name == "flow" and key not in self._cubes:
+            kw["nations"] = self.nations()   # already size-checked once
         if key not in self._cubes:
             df = self.BUILDERS[name](self.spark, self.sf_dir, years=self._window, **kw)
             if self.materialize:
