@@ -219,8 +219,8 @@ def sample(docs: DataFrame, per_lang: int = PER_LANG) -> list[tuple[int, str, st
     w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = ids.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= per_lang) \
         .select("doc_id").distinct()
-    # at most per_lang ids of each language: small beside the documents
-    rows = labelled.join(chosen, "doc_id", "left_semi").collect()
+    # at most per_lang ids of each language, as many as the sample collected here
+    rows = labelled.join(F.broadcast(chosen), "doc_id", "left_semi").collect()
     return sorted((r.doc_id, r.text, r.lang) for r in rows)
 
 
