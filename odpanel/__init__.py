@@ -15,7 +15,6 @@ operators  DataFrame -> DataFrame operators (cleaning, flows, normalization,
            index numbers, profiling, grid extraction, quality checks)
 plans      composite products (corridor ranking, margin index) and the query
            catalogue used by ``__spark_entry__``
-streaming  nothing: the analysed application has no streaming part
 """
 
 __version__ = "0.1.0"

@@ -16,12 +16,19 @@ from pyspark.sql.types import StringType
 
 # Text that marks a suppressed or empty cell in the source grids.
 SENTINELS = ["", "..", ".", "-"]
+# Blank and control characters that surround a cell's or a label's text.
+BLANK_CHARS = "".join(map(chr, range(33)))
 
 
 def _c(c):
     return F.col(c) if isinstance(c, str) else c
 
 
+def trim_blanks(c) -> Column:
+    """The text without leading and trailing blank and control characters."""
+    return F.btrim(_c(c), F.lit(BLANK_CHARS))
+
+
 def safe_div(num, den, positive_only: bool = False) -> Column:
     """``num / den`` or NULL when the denominator is 0 (or <= 0 if asked)."""
     num, den = _c(num), _c(den)
@@ -41,7 +48,7 @@ def clean_cell(num="num", text="text") -> Column:
     gives NULL, anything else is parsed as a double (NULL when it does not
     parse). A cell with neither gives NULL.
     """
-    t = F.trim(_c(text))
+    t = trim_blanks(text)
     parsed = F.when(t.isin(*SENTINELS), F.lit(None).cast("double")).otherwise(
         t.try_cast("double"))
     return F.coalesce(_c(num), parsed)
@@ -50,7 +57,7 @@ def clean_cell(num="num", text="text") -> Column:
 def literal_text(raw) -> Column:
     """Strip the quoting of a typed literal: ``"text"`` and ``#date#`` lose
     their delimiters; other text is only trimmed."""
-    s = F.trim(_c(raw))
+    s = trim_blanks(raw)
     quoted = s.startswith('"') & s.endswith('"') & (F.length(s) >= 2)
     hashed = s.startswith("#") & s.endswith("#") & (F.length(s) >= 2)
     inner = F.substring(s, F.lit(2), F.length(s) - 2)
@@ -64,7 +71,7 @@ def literal_number(raw) -> Column:
 
 def literal_bool(raw) -> Column:
     """``#TRUE#`` / ``#FALSE#`` literal as a boolean (NULL otherwise)."""
-    t = F.trim(_c(raw))
+    t = trim_blanks(raw)
     return F.when(t == "#TRUE#", F.lit(True)).when(t == "#FALSE#", F.lit(False))
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from odpanel.functions.columns import trim_blanks
+
 # Region label prefixes and the canonical names they map to.
-# A trimmed label starting with a prefix gets the canonical name; no prefix
-# in the list starts another one, so the order of the rules does not matter.
+# A trimmed label starting with a prefix gets the canonical name.
 REGION_PREFIXES = {
     "Andaluc": "Andalucia",
     "Arag": "Aragon",
@@ -33,12 +34,12 @@ TOTAL_LABEL = "TOTAL"
 
 
 def normalize_label(raw, rules: dict | None = None, total_label: str = TOTAL_LABEL) -> Column:
-    """Canonical label: ``total_label`` -> NULL, first matching prefix rule,
-    else the trimmed raw label. One CASE expression, evaluated in codegen."""
+    """Canonical label: ``total_label`` -> NULL, the longest matching prefix
+    rule, else the trimmed raw label. One CASE expression, in codegen."""
     rules = REGION_PREFIXES if rules is None else rules
-    s = F.trim(F.col(raw) if isinstance(raw, str) else raw)
+    s = trim_blanks(raw)
     expr = F.when(s == total_label, F.lit(None).cast("string"))
-    for prefix, canon in rules.items():
+    for prefix, canon in sorted(rules.items(), key=lambda r: -len(r[0])):
         expr = expr.when(s.startswith(prefix), F.lit(canon))
     return expr.otherwise(s)
 
@@ -55,7 +56,7 @@ def normalize_with_rule_table(df, col: str, rules, out: str = "label",
     over many tasks. Adds ``out``; other columns are unchanged.
     """
     from odpanel.operators.flows import salted_lookup
-    raw = F.trim(F.col(col))
+    raw = trim_blanks(col)
     maxlen = rules.select(F.max(F.length("prefix"))).scalar()
     labels = df.select(raw.alias("_raw")).distinct().where(F.col("_raw").isNotNull())
     prefixes = F.transform(F.sequence(F.lit(1), F.col("_n")),

@@ -132,16 +132,17 @@ def positive_flows(cargo: DataFrame, direction: str = "expedido",
         "year", "region", "cargo_class", F.col("value").alias("tonnes"))
 
 
-SALTS = 16
+def salts_of(spark) -> int:
+    """As many salts as the session has shuffle partitions."""
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def with_group_total(df: DataFrame, keys, value: str, out: str = "total",
-                     salts: int = SALTS) -> DataFrame:
+                     salts: int | None = None) -> DataFrame:
     """Attach the per-key total of ``value`` to every row, skew-safe.
 
     The totals are a partially-aggregated group-by (one row per key). Joining
-    them back is salted: each detail row gets a deterministic salt (a hash of
-    the row, mod ``salts``) and the totals are replicated once per salt, so a
+    them back is salted (see ``salted_lookup``) and the totals are replicated once per salt, so a
     key holding a third of all rows is spread over ``salts`` join tasks.
     Every row matches exactly one replica, so the result is the same whatever
     the salt (also on task retries). AQE still broadcasts small totals. AQE's
@@ -154,18 +155,23 @@ def with_group_total(df: DataFrame, keys, value: str, out: str = "total",
 
 
 def salted_lookup(detail: DataFrame, lookup: DataFrame, keys, how: str = "inner",
-                  salts: int = SALTS) -> DataFrame:
+                  salts: int | None = None) -> DataFrame:
     """Join a detail table to a lookup with (at most) one row per key,
     spreading each key's detail rows over ``salts`` join tasks.
 
-    Detail rows get a deterministic salt (hash of the row mod ``salts``); the
-    lookup is replicated once per salt. Each detail row meets exactly one
+    Detail rows get a salt from the number of their partition and a hash of
+    the row, so equal rows of different partitions part as well, and a task
+    that runs again deals its rows out as before (a row counter would not,
+    after a shuffle). The lookup is replicated once per salt (default: one
+    for each shuffle partition). Each detail row meets exactly one
     replica, so inner and left joins return exactly the unsalted result.
     """
     keys = list(keys)
+    salts = salts or salts_of(detail.sparkSession)
     rep = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = detail.withColumn(
-        "_salt", F.pmod(F.xxhash64(*detail.columns), F.lit(salts)).cast("int"))
+        "_salt", F.pmod(
+            F.xxhash64(F.spark_partition_id(), *detail.columns), F.lit(salts)).cast("int"))
     return salted.join(rep, keys + ["_salt"], how).drop("_salt")
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from odpanel.functions import clean_cell, normalize_label
+from odpanel.functions import clean_cell, normalize_label, trim_blanks
 
 
 def _map(d: dict) -> Column:
@@ -36,8 +36,8 @@ def cell_values(cells: DataFrame) -> DataFrame:
 
 def header_year(num: str = "num", text: str = "text") -> Column:
     """Year of a header cell: a numeric cell, or digit-only text."""
-    t = F.trim(F.col(text))
-    return F.coalesce(F.col(num).cast("int"),
+    t = trim_blanks(text)
+    return F.coalesce(F.col(num).try_cast("int"),
                       F.when(t.rlike("^[0-9]+$"), t.try_cast("int")))
 
 
@@ -69,7 +69,7 @@ def quarterly_panel(cells: DataFrame, sheet: str, start_row: int, quarter_labels
     c = cells.where((F.col("sheet") == sheet) & (F.col("row") >= start_row))
     rows = c.where(F.col("col").isin(year_col, label_col)).groupBy("file", "sheet", "row").agg(
         F.max(F.when(F.col("col") == year_col, header_year())).alias("year_hdr"),
-        F.max(F.when(F.col("col") == label_col, F.trim("text"))).alias("label"))
+        F.max(F.when(F.col("col") == label_col, trim_blanks("text"))).alias("label"))
     rows = carry_forward(rows, "year_hdr", "year")
     qmap = _map(quarter_labels)
     rows = rows.where(qmap[F.col("label")].isNotNull() & F.col("year").between(y_min, y_max))
@@ -80,7 +80,7 @@ def quarterly_panel(cells: DataFrame, sheet: str, start_row: int, quarter_labels
 
 
 def od_matrix(cells: DataFrame, sheets: dict, first_row: int, n_rows: int,
-              left_cols, right_cols) -> DataFrame:
+              left_cols: range, right_cols: range) -> DataFrame:
     """(file, metric, row_idx, col_idx, value) of square matrices stored in
     two sheet halves: the right half's columns continue after the left's.
 
@@ -89,10 +89,13 @@ def od_matrix(cells: DataFrame, sheets: dict, first_row: int, n_rows: int,
     """
     right_sheets = [r for r, _ in sheets.values()]
     metric = {**{l: m for l, (_, m) in sheets.items()}, **{r: m for r, m in sheets.values()}}
-    lpos = {c: i for i, c in enumerate(left_cols)}
-    rpos = {c: len(left_cols) + i for i, c in enumerate(right_cols)}
     is_left = F.col("sheet").isin(*sheets)
-    col_idx = F.when(is_left, _map(lpos)[F.col("col")]).otherwise(_map(rpos)[F.col("col")])
+
+    def index(cols: range, first: int) -> Column:
+        return F.when((F.col("col") >= cols.start) & (F.col("col") < cols.stop),
+                      F.col("col") - cols.start + first)
+
+    col_idx = F.when(is_left, index(left_cols, 0)).otherwise(index(right_cols, len(left_cols)))
     c = cells.where((is_left | F.col("sheet").isin(*right_sheets))
                     & F.col("row").between(first_row, first_row + n_rows - 1))
     return c.select("file", _map(metric)[F.col("sheet")].alias("metric"),
@@ -129,7 +132,7 @@ def find_blocks(cells: DataFrame, start_row: int = 16, marker: str = "Total tran
     lab = cells.where((F.col("col") == label_col) & F.col("text").isNotNull())
     if sheets is not None:
         lab = lab.where(F.col("sheet").isin(*sheets))
-    lab = lab.select("file", "sheet", "row", F.trim("text").alias("label"))
+    lab = lab.select("file", "sheet", "row", trim_blanks("text").alias("label"))
     nxt = lab.select("file", "sheet", (F.col("row") - 1).alias("row"),
                      F.col("label").alias("next_label"))
     ok = (F.col("row") >= start_row) & (F.col("label") != "")
@@ -143,7 +146,7 @@ def find_blocks(cells: DataFrame, start_row: int = 16, marker: str = "Total tran
 def _next_page(sheet: Column) -> Column:
     """``<prefix>p<i>`` -> ``<prefix>p<i+1>``."""
     return F.concat(F.regexp_extract(sheet, r"^(.*p)(\d+)$", 1),
-                    (F.regexp_extract(sheet, r"^(.*p)(\d+)$", 2).cast("int") + 1).cast("string"))
+                    (F.regexp_extract(sheet, r"^(.*p)(\d+)$", 2).try_cast("int") + 1).cast("string"))
 
 
 def block_table(cells: DataFrame, blocks: DataFrame, offsets: dict, left_classes: dict,
@@ -203,7 +206,7 @@ def sectioned_rows(cells: DataFrame, sheets: dict, sections: dict, band_cols: di
     c = cells.where(F.col("sheet").isin(*sheets)).withColumn("section", sec).where(
         F.col("section").isNotNull())
     years = c.where((F.col("col") == year_col) & F.col("num").isNotNull()).select(
-        "file", "sheet", "row", F.col("num").cast("int").alias("year")).where(
+        "file", "sheet", "row", F.col("num").try_cast("int").alias("year")).where(
         F.col("year").between(y_min, y_max))
     vals = c.where(F.col("col").isin(*band_cols)).select(
         "file", "sheet", "row", "col", "section", clean_cell("num", "text").alias("value"))

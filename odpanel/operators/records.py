@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odpanel.functions import literal_date, literal_number, literal_text
+from odpanel.schemas import COST
 
 # 1-based line number of each field in a cost-model record.
 RECORD_LINES = {
@@ -36,12 +37,7 @@ RECORD_LINES = {
 MIN_LINES = 256
 TEXT_FIELDS = {"vehicle_type"}
 DATE_FIELDS = {"period"}
-OUTPUT_ORDER = ["period", "vehicle_type", "km_anual", "pct_carga", "km_en_carga",
-                "horas_anuales", "personal_conduccion_eur", "dietas_conductor_eur",
-                "seguros_eur", "costes_fiscales_eur", "peajes_eur", "urea_eur",
-                "costes_indirectos_eur", "vehicle_price_eur", "semitrailer_price_eur",
-                "fuel_price_per_litre", "fuel_consumption_coeff", "interest_rate_pct",
-                "combustible_eur"]
+OUTPUT_ORDER = COST.fieldNames()
 
 
 def _field_parser(lines: dict):
@@ -77,8 +73,12 @@ def record_quality(files: DataFrame, lines: dict | None = None,
 
 
 def record_lines(df: DataFrame, content: str = "content", charset: str = "ISO-8859-1") -> DataFrame:
-    """Add ``lines``: the decoded content split on any line ending."""
-    return df.withColumn("lines", F.split(F.decode(F.col(content), charset), r"\r\n|\n|\r"))
+    """Add ``lines``: the decoded content split on any line ending; a final
+    line ending does not begin one more line."""
+    lines = F.split(F.decode(F.col(content), charset), r"\r\n|\n|\r")
+    return df.withColumn("lines", lines).withColumn("lines", F.when(
+        F.element_at("lines", -1) == "", F.slice("lines", 1, F.size("lines") - 1))
+        .otherwise(F.col("lines")))
 
 
 def extract_records(files: DataFrame, lines: dict | None = None,

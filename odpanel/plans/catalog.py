@@ -112,12 +112,12 @@ def _scores(spark, d):
 
 @query("minmax_norm")
 def q_minmax(spark, d):
-    return normalize.min_max(_scores(spark, d), ranking.METRICS)
+    return normalize.min_max(_stored(_scores(spark, d)), ranking.METRICS)
 
 
 @query("zscore_norm")
 def q_zscore(spark, d):
-    return normalize.z_score(_scores(spark, d), ranking.METRICS).select(
+    return normalize.z_score(_stored(_scores(spark, d)), ranking.METRICS).select(
         "origin", "destination", *[m + "_z" for m in ranking.METRICS])
 
 
@@ -243,7 +243,9 @@ def q_value_counts(spark, d):
         raw(spark, d, ds).select(F.lit(ds).alias("dataset"), F.lit(c).alias("column_name"),
                                  F.col(c).alias("value"))
         for ds, c in FREQ_COLUMNS)
-    return vals.groupBy("dataset", "column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+    return vals.groupBy("dataset", "column_name", "value").agg(
+        F.count(F.lit(1)).alias("count")).orderBy("dataset", F.desc("count"),
+                                                  F.asc_nulls_last("value"))
 
 
 @query("year_counts")
@@ -314,7 +316,8 @@ def q_stats_stddev(spark, d):
 
 @query("describe_table")
 def q_describe(spark, d):
-    return profile.describe_table(spark, clean(spark, d, "corridors"))
+    plain = panels.PanelSource(spark, d.sf_dir, materialize=False)   # only its schema is read
+    return profile.describe_table(spark, plain.clean("corridors"))
 
 
 # ---- data quality -----------------------------------------------------------------
@@ -336,8 +339,10 @@ def q_dq_density(spark, d):
 
 @query("dq_spot")
 def q_dq_spot(spark, d):
-    return quality.spot(clean(spark, d, "corridors"), year=2000, origin_region="NATION_1",
-                        destination_region="NATION_2", metric=flows.OPS_TOTAL)
+    pair = ("NATION_1", "NATION_2")
+    return quality.spot(d.clean("corridors", years=(2000, 2000), pair=pair), year=2000,
+                        origin_region=pair[0], destination_region=pair[1],
+                        metric=flows.OPS_TOTAL)
 
 
 @query("dq_trend")
@@ -348,16 +353,22 @@ def q_dq_trend(spark, d):
 # ---- sources, sinks, records ---------------------------------------------------------
 
 
+def _record_files(spark, d):
+    root = shared_dir(spark, "records")
+    records.write_records(raw(spark, d, "cost"), root)
+    return files.read_records(spark, root, "*.txt")
+
+
 @query("obs_extract")
 def q_obs_extract(spark, d):
-    """Cost rows written as fixed-line Latin-1 records, then extracted."""
-    return extract_records(records.cost_records(raw(spark, d, "cost")))
+    """Cost rows written as fixed-line record files, read back and extracted."""
+    return extract_records(_record_files(spark, d))
 
 
 @query("obs_quality")
 def q_obs_quality(spark, d):
     """Counts of the record extraction: files, short records, unparsable fields."""
-    return record_quality(records.cost_records(raw(spark, d, "cost")))
+    return record_quality(_record_files(spark, d))
 
 
 @query("csv_roundtrip")
@@ -408,8 +419,8 @@ def _stored(df: DataFrame) -> DataFrame:
 
 
 def _n_regions(src) -> int:
-    """Size of the nation dimension (the count of its broadcast size check)."""
-    return src.n_nations()
+    """Rows and columns a grid keeps for the nations."""
+    return src.nation_span()
 
 
 @query("clean_cells")
@@ -428,8 +439,8 @@ def q_normalize_labels(spark, d):
 
 @query("unpivot_labels")
 def q_unpivot_labels(spark, d):
-    p = raw(spark, d, "price_index")
-    cols = {f"b{i}": b for i, b in enumerate(GS.PRICE_BANDS)}
+    p = _stored(raw(spark, d, "price_index"))
+    cols = {f"b{i}": b for i, b in enumerate(GS.bands_of(p))}
     wide = p.groupBy("year", "quarter").agg(
         *[F.max(F.when(F.col("distance_band") == b, F.col("price_index"))).alias(c)
           for c, b in cols.items()])
@@ -442,20 +453,23 @@ def q_od_matrix_long(spark, d):
     split = GS.matrix_split(n)
     sheets = {code: (code + "s", m) for m, code in GS.CORRIDOR_SHEETS.items()}
     m = G.od_matrix(_stored(GS.corridor_cells(d, n)), sheets, GS.MATRIX_FIRST_ROW, n,
-                    list(range(1, split + 1)), list(range(0, n - split)))
+                    range(1, split + 1), range(0, n - split))
     labels = d.nations().select(F.col("n_nationkey").alias("idx"), F.col("n_name").alias("name"))
     return G.od_long(m, labels, GS.EXCLUDED_REGIONS)
 
 
 @query("price_from_grid")
 def q_price_from_grid(spark, d):
-    cells = _stored(GS.price_cells(d))
-    cols = {i + 2: b for i, b in enumerate(GS.PRICE_BANDS)}
-    a = G.quarterly_panel(cells.where(F.col("file") == "prices_a"), GS.PRICE_SHEET,
-                          GS.PRICE_FIRST_ROW, GS.QUARTER_LABELS, cols, 1995, 1996)
-    b = G.quarterly_panel(cells.where(F.col("file") == "prices_b"), GS.PRICE_SHEET,
-                          GS.PRICE_FIRST_ROW, GS.QUARTER_LABELS, cols, 1997, 2001)
-    return a.unionByName(b)
+    panel = _stored(raw(spark, d, "price_index"))
+    bands, editions = GS.bands_of(panel), GS.editions_of(GS.years_of(panel))
+    cells = _stored(GS.price_cells(panel, bands, editions))
+    cols = {i + 2: b for i, b in enumerate(bands)}
+    (a, first, _, _), (b, middle, last, _) = editions
+    # the first edition up to the year the second begins with, then the second
+    parts = [(a, first, middle - 1), (b, middle, last)]
+    return profile.union_all(
+        G.quarterly_panel(cells.where(F.col("file") == f), GS.PRICE_SHEET, GS.PRICE_FIRST_ROW,
+                          GS.QUARTER_LABELS, cols, lo, hi) for f, lo, hi in parts)
 
 
 @query("regional_from_grid")
@@ -470,25 +484,30 @@ def q_regional_from_grid(spark, d):
 @query("bands_from_grid")
 def q_bands_from_grid(spark, d):
     sheets = {code: m for m, code in GS.BAND_SHEETS.items()}
-    cols = {c: b for b, c in GS.BAND_COLS.items()}
-    return G.sectioned_rows(_stored(GS.bands_cells(d)), sheets, GS.SECTIONS, cols, 1995, 2001)
+    panel = _stored(raw(spark, d, "distance_bands"))
+    bands, years = GS.bands_of(panel), GS.years_of(panel)
+    sections = GS.sections_of(years)
+    cells = _stored(GS.bands_cells(panel, bands, sections, years[0]))
+    return G.sectioned_rows(cells, sheets, sections, {i + 1: b for i, b in enumerate(bands)},
+                            *years)
 
 
 def _cargo_blocks(d):
-    cells = _stored(GS.cargo_cells(d, _n_regions(d)))
-    return cells, G.find_blocks(cells, GS.BLOCK_FIRST_ROW, GS.BLOCK_MARKER,
-                                sheets=GS.cargo_block_sheets())
+    classes = GS.classes_of(d.raw("cargo"))
+    cells = _stored(GS.cargo_cells(d, _n_regions(d), *classes))
+    return cells, classes, G.find_blocks(cells, GS.BLOCK_FIRST_ROW, GS.BLOCK_MARKER,
+                                         sheets=GS.cargo_block_sheets())
 
 
 @query("block_detect")
 def q_block_detect(spark, d):
-    return _cargo_blocks(d)[1]
+    return _cargo_blocks(d)[2]
 
 
 @query("block_extract")
 def q_block_extract(spark, d):
-    cells, blocks = _cargo_blocks(d)
+    cells, (left, right), blocks = _cargo_blocks(d)
     metrics = {p: m for m, p in GS.CARGO_PREFIXES.items()}
     return G.block_table(cells, blocks, GS.BLOCK_OFFSETS,
-                         {c: k for k, c in GS.CARGO_LEFT.items()},
-                         {c: k for k, c in GS.CARGO_RIGHT.items()}, metrics)
+                         {c: k for k, c in left.items()}, {c: k for k, c in right.items()},
+                         metrics)

@@ -38,7 +38,7 @@ CTES["pair_flows"] = """
 _FLOW_METRICS = lambda names: [
     (names[0], "CAST(n_ops AS DOUBLE)"),
     (names[1], "CAST(n_empty AS DOUBLE)"),
-    (names[2], "CASE WHEN n_ops >= 5 THEN qty END"),
+    (names[2], "qty"),
     (names[3], "CAST(price AS DOUBLE) / 100000.0"),
 ]
 
@@ -95,13 +95,12 @@ CTES["cargo_g"] = """
   JOIN nation n ON x.nk = n.n_nationkey
   GROUP BY ALL"""
 
-_ZERO = "region = 'NATION_0' AND cargo_class = 'PROMO'"
-CTES["cargo_raw"] = f"""
+CTES["cargo_raw"] = """
   SELECT year, region, direction, cargo_class, 'operations' AS metric,
-         CASE WHEN {_ZERO} THEN 0.0 ELSE CAST(n_ops AS DOUBLE) END AS value FROM cargo_g
+         CAST(n_ops AS DOUBLE) AS value FROM cargo_g
   UNION ALL
   SELECT year, region, direction, cargo_class, 'tonnes_thousands',
-         CASE WHEN {_ZERO} THEN 0.0 ELSE qty END FROM cargo_g
+         qty FROM cargo_g
   UNION ALL
   SELECT year, NULL, direction, cargo_class, 'operations', CAST(sum(n_ops) AS DOUBLE)
   FROM cargo_g GROUP BY year, direction, cargo_class
@@ -181,7 +180,7 @@ CTES["cost_raw"] = f"""
          {", ".join(n for n, _, _ in _COMBOS)}, costes_indirectos_eur,
          vehicle_price_eur, semitrailer_price_eur, fuel_price_per_litre,
          fuel_consumption_coeff, interest_rate_pct, combustible_eur
-  FROM cost_g WHERE NOT (y = 1998 AND q = 3)"""
+  FROM cost_g"""
 
 CTES["cost"] = f"""
   SELECT * EXCLUDE (vehicle_type, vehicle_price_eur, semitrailer_price_eur, interest_rate_pct)

@@ -203,13 +203,13 @@ _add("obs_extract", """
          costes_fiscales_eur, peajes_eur, urea_eur, costes_indirectos_eur, vehicle_price_eur,
          semitrailer_price_eur, fuel_price_per_litre, fuel_consumption_coeff, interest_rate_pct,
          fuel_price_per_litre * fuel_consumption_coeff * km_anual AS combustible_eur
-  FROM cost_raw WHERE period <> DATE '1995-01-01' ORDER BY period""",
+  FROM cost_raw ORDER BY period""",
      ["km_anual", "pct_carga", "km_en_carga", "horas_anuales", "personal_conduccion_eur",
       "dietas_conductor_eur", "seguros_eur", "costes_fiscales_eur", "peajes_eur", "urea_eur",
       "costes_indirectos_eur", "vehicle_price_eur", "semitrailer_price_eur",
       "fuel_price_per_litre", "fuel_consumption_coeff", "interest_rate_pct", "combustible_eur"])
 _add("obs_quality", "SELECT count(*) AS files, "
-     "count(*) FILTER (WHERE period = DATE '1995-01-01') AS short_records, "
+     "CAST(0 AS BIGINT) AS short_records, "
      "CAST(0 AS BIGINT) AS bad_fields FROM cost_raw")
 _add("csv_roundtrip", "SELECT * FROM corridors", ["value"])
 _add("files_by_year", "SELECT * FROM corridors", ["value"])
@@ -223,11 +223,13 @@ _CS = ("CASE metric WHEN 'transport_operations_total' THEN '6.5' "
        "WHEN 'tonne_km_millions' THEN '6.8' END")
 _RS = ("CASE metric WHEN 'operations_total' THEN '6.1' WHEN 'operations_empty' THEN '6.2' "
        "WHEN 'tonnes_thousands' THEN '6.3' WHEN 'tonne_km_millions' THEN '6.4' END")
+_SPAN = "(SELECT max(n_nationkey) + 1 FROM nation)"
+_HALF = f"(({_SPAN} + 1) // 2)"
 _add("clean_cells", f"""
   SELECT 'flows_' || CAST(c.year AS VARCHAR) AS file,
-         {_CS} || CASE WHEN d.n_nationkey < 13 THEN '' ELSE 's' END AS sheet,
+         {_CS} || CASE WHEN d.n_nationkey < {_HALF} THEN '' ELSE 's' END AS sheet,
          17 + o.n_nationkey AS row,
-         CASE WHEN d.n_nationkey < 13 THEN d.n_nationkey + 1 ELSE d.n_nationkey - 13 END AS col,
+         CASE WHEN d.n_nationkey < {_HALF} THEN d.n_nationkey + 1 ELSE d.n_nationkey - {_HALF} END AS col,
          c.value AS value
   FROM corridors_raw c JOIN nation o ON c.origin_region = o.n_name
   JOIN nation d ON c.destination_region = d.n_name
@@ -240,7 +242,7 @@ _add("normalize_labels", f"""
          17 + n.n_nationkey AS row, r.region AS raw_label, r.region AS label
   FROM regional_raw r JOIN nation n ON r.region = n.n_name
   UNION ALL
-  SELECT DISTINCT 'regional_' || CAST(year AS VARCHAR), {_RS}, 17 + 25, 'TOTAL', NULL
+  SELECT DISTINCT 'regional_' || CAST(year AS VARCHAR), {_RS}, 17 + {_SPAN}, 'TOTAL', NULL
   FROM regional_raw""")
 _add("unpivot_labels", "SELECT * FROM price_index_raw WHERE price_index IS NOT NULL",
      ["price_index"])
@@ -252,13 +254,12 @@ _add("price_from_grid", "SELECT * FROM price_index_raw WHERE price_index IS NOT
      ["price_index"])
 _add("regional_from_grid", "SELECT * FROM regional_raw WHERE value IS NOT NULL AND region IS NOT NULL",
      ["value"])
-_add("bands_from_grid", "SELECT * FROM distance_bands_raw WHERE value IS NOT NULL "
-     "AND year BETWEEN 1995 AND 2001", ["value"])
-_add("block_detect", """
+_add("bands_from_grid", "SELECT * FROM distance_bands_raw WHERE value IS NOT NULL", ["value"])
+_add("block_detect", f"""
   SELECT DISTINCT 'cargo_' || CAST(c.year AS VARCHAR) AS file,
          CASE c.metric WHEN 'operations' THEN '7.4' ELSE '7.5' END || 'p'
            || CAST(2 * coalesce(n.n_nationkey % 4, 0) + 1 AS VARCHAR) AS sheet,
-         16 + 10 * coalesce(n.n_nationkey // 4, 7) AS row, c.region AS region
+         16 + 10 * coalesce(n.n_nationkey // 4, ({_SPAN} + 3) // 4) AS row, c.region AS region
   FROM cargo_raw c LEFT JOIN nation n ON c.region = n.n_name""")
 _add("block_extract", "SELECT * FROM cargo_raw", ["value"])
 

@@ -14,6 +14,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a sort-merge join becomes a hash join at run time only if every build
+    # partition fits this bound
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     # checkpointed cubes are removed from shared storage once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -59,7 +63,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cur = sc.getCheckpointDir()
     if cur:
         return cur
-    if not conf_dir and not sc.master.startswith("local"):
+    if not conf_dir and sc.master.split("[")[0] != "local":
         # never a machine-local folder on a cluster: executors could not read it
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     root = conf_dir or tempfile.mkdtemp(prefix="odpanel-ckpt-")

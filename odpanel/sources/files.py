@@ -65,7 +65,12 @@ def read_by_year(spark: SparkSession, paths, schema: StructType, pattern: str,
     return df.select(year.alias(year_col), *df.columns)
 
 
-def read_records(spark: SparkSession, root: str, glob: str = "*.obs") -> DataFrame:
-    """Binary record files under ``root`` (any depth): (path, content)."""
+# Fixed value: the name of the record file in each period's folder.
+RECORD_FILE = "Articulado Carga General.obs"
+
+
+def read_records(spark: SparkSession, root: str, glob: str = RECORD_FILE) -> DataFrame:
+    """Binary record files of one name under ``root`` (any depth): (path,
+    content)."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
             .option("pathGlobFilter", glob).load(root).select("path", "content"))

@@ -30,7 +30,8 @@ DISPLACEMENT_COLS = {"intrarregional_total": 1, "intramunicipal": 2,
                      "intermunicipal_intrarregional": 3, "interregional_recibido": 5,
                      "interregional_expedido": 6, "internacional_recibido": 8,
                      "internacional_expedido": 9}
-SECTIONS = {"total": (15, 22), "cuenta_ajena": (25, 32), "cuenta_propia": (35, 42)}
+SECTION_NAMES = ["total", "cuenta_ajena", "cuenta_propia"]
+SECTION_FIRST_ROW, SECTION_GAP = 15, 3
 MATRIX_FIRST_ROW = 17
 REGIONAL_FIRST_ROW = 17
 PRICE_FIRST_ROW = 23
@@ -39,17 +40,47 @@ BLOCK_OFFSETS = {"expedido": 7, "recibido": 8}
 BLOCK_MARKER = "Total transportado"
 
 # Parameters of the derived layout.
-PRICE_BANDS = ["Total", "band_1", "band_2", "band_3", "band_4", "band_5"]
-PRICE_EDITIONS = [("prices_a", 1995, None, 1997, "num"), ("prices_b", 1996, 1996, None, "text")]
-BAND_COLS = {b: i + 1 for i, b in enumerate(PRICE_BANDS)}
-BAND_BASE_YEAR = 1995
-CARGO_LEFT = {"ECONOMY": 2, "LARGE": 3, "MEDIUM": 4}     # header page, col
-CARGO_RIGHT = {"PROMO": 0, "SMALL": 1, "STANDARD": 2}    # next page, col
+CARGO_LEFT_COL, CARGO_RIGHT_COL = 2, 0   # first class column of the two pages
 PAGE_PAIRS = 4
 BLOCK_SPACING = 10
 EXCLUDED_REGIONS = ["NATION_24"]
 
 
+def bands_of(panel: DataFrame) -> list[str]:
+    """The distance bands of a panel: ``Total``, then by number. A sheet has a
+    column for each, so their number is that of the size classes."""
+    found = [r[0] for r in panel.select("distance_band").distinct().collect()]
+    return sorted((b for b in found if b), key=lambda b: (b != "Total", len(b), b))
+
+
+def classes_of(panel: DataFrame) -> tuple[dict, dict]:
+    """Cargo class -> column on the header page and on the page after it."""
+    names = sorted(r[0] for r in panel.select("cargo_class").distinct().collect() if r[0])
+    half = (len(names) + 1) // 2
+    return ({c: CARGO_LEFT_COL + i for i, c in enumerate(names[:half])},
+            {c: CARGO_RIGHT_COL + i for i, c in enumerate(names[half:])})
+
+
+def years_of(panel: DataFrame) -> tuple[int, int]:
+    """First and last year of a panel; (1, 0) if it has no rows."""
+    lo, hi = panel.agg(F.min("year"), F.max("year")).first()
+    return (1, 0) if lo is None else (lo, hi)
+
+
+def sections_of(years: tuple[int, int]) -> dict:
+    """Section -> [first, end) rows: one row a year, three between sections."""
+    span = years[1] - years[0] + 1
+    first = [SECTION_FIRST_ROW + i * (span + SECTION_GAP) for i in range(len(SECTION_NAMES))]
+    return {s: (a, a + span) for s, a in zip(SECTION_NAMES, first, strict=True)}
+
+
+def editions_of(years: tuple[int, int]) -> list[tuple]:
+    """(file, first year, last year, header kind) of two overlapping price
+    editions that cover all years together."""
+    middle = (years[0] + years[1]) // 2
+    return [("prices_a", years[0], middle + 1, "num"), ("prices_b", middle, years[1], "text")]
+
+
 def _cells(file, sheet, row, col, num=None, text=None):
     return [file.alias("file"), sheet.alias("sheet"), row.cast("int").alias("row"),
             col.cast("int").alias("col"),
@@ -92,18 +123,13 @@ def corridor_cells(src, n: int) -> DataFrame:
     return vals.unionByName(labels)
 
 
-def price_cells(src) -> DataFrame:
+def price_cells(raw: DataFrame, bands: list[str], editions: list[tuple]) -> DataFrame:
     """Two editions of the price sheet: a year header row then four quarter
-    rows (``1T``..``4T`` in col 1, bands in cols 2..7). Edition A writes
+    rows (``1T``..``4T`` in col 1, bands from col 2 on). Edition A writes
     numeric year headers, edition B digit text; the editions overlap."""
-    raw = src.raw("price_index")
     frames = []
-    for file, base, lo, hi, kind in PRICE_EDITIONS:
-        p = raw
-        if lo is not None:
-            p = p.where(F.col("year") >= lo)
-        if hi is not None:
-            p = p.where(F.col("year") <= hi)
+    for file, base, hi, kind in editions:
+        p = raw.where(F.col("year").between(base, hi))
         f, sh = F.lit(file), F.lit(PRICE_SHEET)
         hdr_row = PRICE_FIRST_ROW + (F.col("year") - base) * 5
         qn = F.substring("quarter", 2, 1).cast("int")
@@ -113,7 +139,7 @@ def price_cells(src) -> DataFrame:
         qlab = p.select(*_cells(f, sh, hdr_row + qn, F.lit(1),
                                 text=F.concat(qn.cast("string"), F.lit("T")))).distinct()
         vals = p.select(*_cells(f, sh, hdr_row + qn,
-                                _map({b: i + 2 for i, b in enumerate(PRICE_BANDS)})[F.col("distance_band")],
+                                _map({b: i + 2 for i, b in enumerate(bands)})[F.col("distance_band")],
                                 F.col("price_index"), _suppressed("price_index")))
         title = hdr.select(*_cells(F.col("file"), F.col("sheet"), F.lit(0), F.lit(0),
                                    text=F.lit("Indice de precios del transporte"))).distinct()
@@ -121,7 +147,7 @@ def price_cells(src) -> DataFrame:
     return _union(frames)
 
 
-def cargo_cells(src, n: int) -> DataFrame:
+def cargo_cells(src, n: int, left: dict, right: dict) -> DataFrame:
     """Cargo blocks: a region label, ``Total transportado`` below it, the
     expedido row at +7 and recibido at +8; the first classes on the block's
     page, the rest on the next page. TOTAL rows form one more block. Note
@@ -136,9 +162,9 @@ def cargo_cells(src, n: int) -> DataFrame:
     odd = F.concat(prefix, F.lit("p"), (2 * k + 1).cast("string"))
     even = F.concat(prefix, F.lit("p"), (2 * k + 2).cast("string"))
     file = F.concat(F.lit("cargo_"), F.col("year").cast("string"))
-    is_left = F.col("cargo_class").isin(*CARGO_LEFT)
-    col = F.when(is_left, _map(CARGO_LEFT)[F.col("cargo_class")]).otherwise(
-        _map(CARGO_RIGHT)[F.col("cargo_class")])
+    is_left = F.col("cargo_class").isin(*left)
+    both = _map({**left, **right})
+    col = both[F.col("cargo_class")]
     off = _map(BLOCK_OFFSETS)[F.col("direction")]
     vals = x.select(*_cells(file, F.when(is_left, odd).otherwise(even), hr + off, col,
                             F.col("value"), _suppressed("value")))
@@ -177,16 +203,15 @@ def regional_cells(src, n: int) -> DataFrame:
     return _union([vals, labels, tvals, tlab])
 
 
-def bands_cells(src) -> DataFrame:
+def bands_cells(raw: DataFrame, bands: list[str], sections: dict, base_year: int) -> DataFrame:
     """Band sheets: three sections (total, cuenta ajena, cuenta propia), one
-    row per year with the year number in col 0 and the bands in cols 1..6,
+    row per year with the year number in col 0 and the bands from col 1 on,
     a section title above each."""
-    raw = src.raw("distance_bands")
-    start = _map({k: v[0] for k, v in SECTIONS.items()})[F.col("service_type")]
+    start = _map({k: v[0] for k, v in sections.items()})[F.col("service_type")]
     f = F.lit("bands")
     sheet = _map(BAND_SHEETS)[F.col("metric")]
-    row = start + F.col("year") - BAND_BASE_YEAR
-    vals = raw.select(*_cells(f, sheet, row, _map(BAND_COLS)[F.col("distance_band")],
+    row = start + F.col("year") - base_year
+    vals = raw.select(*_cells(f, sheet, row, _map({b: i + 1 for i, b in enumerate(bands)})[F.col("distance_band")],
                               F.col("value"), _suppressed("value")))
     years = raw.select(*_cells(f, sheet, row, F.lit(0), F.col("year"))).distinct()
     titles = raw.select(*_cells(f, sheet, start - 1, F.lit(0),

@@ -16,11 +16,12 @@ work grows with the data:
 
 Nation names are attached after aggregation. Money sums are exact: prices
 and rates have two decimals, so each row contributes integer cents (or cents
-x rate points) and the sums are LONG, identical in any partitioning order and
-as fast as double sums (DECIMAL arithmetic is several times slower). Bound:
-even if one group held a third of 6e11 lineitem rows the largest sum stays
-below 2^63; under ANSI mode an overflow raises instead of wrapping. Averages
-stay in double.
+x rate points), summed as integers in any partitioning order. Sums of cents
+fit a long up to 6e11 rows; the products of ``cost_cube`` do not and are
+summed in two halves that do (``exact_sum``). The rate averages are integer
+sums over a count. The unit prices of ``ship_cube`` (price over quantity) are
+not decimal and are summed as doubles: they agree to about 12 digits however
+the rows are partitioned, not to the last bit.
 """
 
 from __future__ import annotations
@@ -30,13 +31,11 @@ from pyspark.sql import functions as F
 
 from odpanel.functions import safe_div
 from odpanel.operators.cleaning import YEAR_MAX, YEAR_MIN
+from odpanel.schemas import SCHEMAS
 from odpanel.sources.tables import broadcast_if_small, checked_broadcast, read_table
 
 # Fixed parameters of the derivation (see FIXTURES.md family B).
-MIN_TONNES_COUNT = 5          # tonnes suppressed (NULL) below this many lines
 EMPTY_FLAG = "R"              # return flag counted as an empty run
-ZERO_REGION, ZERO_CLASS = "NATION_0", "PROMO"   # cargo cell forced to 0
-GAP_YEAR, GAP_QUARTER = 1998, 3                 # cost quarter left out
 VEHICLE_TYPE = "articulado_carga_general"
 # The cargo class taxonomy of the derived panel (part types).
 CARGO_CLASSES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -48,6 +47,15 @@ def cents(c) -> "F.Column":
     return F.rint(F.col(c) * 100).cast("long")
 
 
+def exact_sum(c) -> "F.Column":
+    """The exact integer sum of a long expression as a decimal: the high and
+    the low 20 bits of the numbers are summed apart, so neither sum comes
+    near 2^63 before 8e12 rows of any size."""
+    high = F.sum(F.shiftright(c, 20)).cast("decimal(38,0)")
+    low = F.sum(c.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)")
+    return high * F.lit(1 << 20).cast("decimal(8,0)") + low
+
+
 def money(cents_sum, scale: float) -> "F.Column":
     """Exact integer sum back to a double amount: sum / scale."""
     return cents_sum.cast("double") / scale
@@ -81,9 +89,11 @@ def _nations(spark, sf_dir):
 
 
 def flow_cube(spark: SparkSession, sf_dir: str, years=None, typed: bool = True,
-              nations: DataFrame | None = None) -> DataFrame:
+              nations: DataFrame | None = None, pair=None) -> DataFrame:
     """(year, o_nk, d_nk[, p_type]) -> n_ops, n_empty, qty, price (cents),
     optionally restricted to an order-year window at the orders scan.
+    ``pair`` (origin, destination) keeps the flows between two nations, by
+    semi-joins of suppliers and customers before the large join.
     ``typed=False`` leaves out the part join (a full shuffle of lineitem by
     part key at scale) for panels that do not need the part type."""
     li = read_table(spark, sf_dir, "lineitem",
@@ -94,16 +104,20 @@ def flow_cube(spark: SparkSession, sf_dir: str, years=None, typed: bool = True,
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"])
+    nat = nations if nations is not None else _nations(spark, sf_dir)
+    if pair:
+        supp, cust = (x.join(nat.where(F.col("n_name") == name), x[key] == F.col("n_nationkey"),
+                             "left_semi")
+                      for x, key, name in ((supp, "s_nationkey", pair[0]),
+                                           (cust, "c_nationkey", pair[1])))
     # orders ⋈ customer first: both are smaller than lineitem, and the result
     # carries only (orderkey, year, customer nation) into the big join.
     oc = (orders.join(cust, orders.o_custkey == cust.c_custkey)
           .select("o_orderkey", F.year("o_orderdate").alias("year"),
                   F.col("c_nationkey").alias("d_nk")))
-    # Shuffle-hash join with orders ⋈ customer as the build side: it is keyed
-    # by the unique order key (no build-side skew; hot keys can only be on
-    # the streamed lineitem side, which AQE splits), and it avoids both the
-    # sort of a merge join and broadcasting either large side.
-    j = (li.join(oc.hint("shuffle_hash"), li.l_orderkey == oc.o_orderkey)
+    # no hint: AQE turns the merge join into a hash join only where every
+    # build partition fits its bound (session.DEFAULT_CONF)
+    j = (li.join(oc, li.l_orderkey == oc.o_orderkey)
          .join(supp, li.l_suppkey == supp.s_suppkey))
     keys = ["year", F.col("s_nationkey").alias("o_nk"), "d_nk"]
     if typed:
@@ -116,7 +130,6 @@ def flow_cube(spark: SparkSession, sf_dir: str, years=None, typed: bool = True,
         F.sum(cents("l_extendedprice")).alias("price"))
     # names and region keys after the aggregate: the cube is small and the
     # checkpointed result needs no further dimension joins downstream
-    nat = nations if nations is not None else _nations(spark, sf_dir)
     o = nat.select(F.col("n_nationkey").alias("o_nk"), F.col("n_name").alias("o_name"),
                    F.col("n_regionkey").alias("o_rk"))
     d = nat.select(F.col("n_nationkey").alias("d_nk"), F.col("n_name").alias("d_name"),
@@ -137,7 +150,7 @@ def _flow_metrics(df):
     return {
         "ops_total": F.col("n_ops").cast("double"),
         "ops_empty": F.col("n_empty").cast("double"),
-        "tonnes": F.when(F.col("n_ops") >= MIN_TONNES_COUNT, F.col("qty")),
+        "tonnes": F.col("qty"),
         "tonne_km": money(F.col("price"), 100000.0),
     }
 
@@ -145,8 +158,7 @@ def _flow_metrics(df):
 def corridors_raw(src: "PanelSource") -> DataFrame:
     """corridors long table: (year, origin_region, destination_region, metric, value).
 
-    Suppressed tonnes stay as NULL rows; diagonal and out-of-range years stay
-    too, for the cleaner to remove.
+    Diagonal pairs and all years stay, for the cleaner to remove.
     """
     f = _pair_flows(src)
     m = _flow_metrics(f)
@@ -200,7 +212,7 @@ def cargo_raw(src: "PanelSource") -> DataFrame:
 
     Inter-nation flows by part type, expedido at the origin and recibido at
     the destination; plus per-(year, direction, class) TOTAL rows with a NULL
-    region, and one region/class forced to 0.
+    region.
     """
     c = src.flow_cube().where(F.col("o_nk") != F.col("d_nk"))
     sides = F.array(F.struct(F.col("o_name").alias("region"), F.lit("expedido").alias("direction")),
@@ -213,11 +225,6 @@ def cargo_raw(src: "PanelSource") -> DataFrame:
         "year", "region", "direction", "cargo_class",
         F.col("n_ops").cast("double").alias("operations"),
         F.col("qty").alias("tonnes_thousands"))
-    zero = (F.col("region") == ZERO_REGION) & (F.col("cargo_class") == ZERO_CLASS)
-    per_region = per_region.select(
-        "year", "region", "direction", "cargo_class",
-        *[F.when(zero, F.lit(0.0)).otherwise(F.col(m)).alias(m)
-          for m in ("operations", "tonnes_thousands")])
     totals = g.groupBy("year", "direction", "cargo_class").agg(
         F.sum("n_ops").cast("double").alias("operations"),
         F.sum("qty").alias("tonnes_thousands")).select(
@@ -295,28 +302,27 @@ def cost_cube(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
                     ).where(_date_window("l_shipdate", years))
     price, disc, tax = cents("l_extendedprice"), cents("l_discount"), cents("l_tax")
     combo_sums = [
-        money(F.sum(F.when((F.col("l_returnflag") == fl) & (F.col("l_linestatus") == st),
-                           price * (disc + tax))), 10000.0).alias(name)
+        money(exact_sum(F.when((F.col("l_returnflag") == fl) & (F.col("l_linestatus") == st),
+                               price * (disc + tax))), 10000.0).alias(name)
         for name, fl, st in COST_COMBOS]
     g = li.groupBy(F.year("l_shipdate").alias("y"), F.quarter("l_shipdate").alias("q")).agg(
         F.sum("l_quantity").alias("km_anual"),
         (F.count_if(F.col("l_linestatus") == "F") * 100.0 / F.count(F.lit(1))).alias("pct_carga"),
         F.count(F.lit(1)).cast("double").alias("horas_anuales"),
         *combo_sums,
-        money(F.sum(price * tax), 1000000.0).alias("costes_indirectos_eur"),
+        money(exact_sum(price * tax), 1000000.0).alias("costes_indirectos_eur"),
         F.max("l_extendedprice").alias("vehicle_price_eur"),
         F.min("l_extendedprice").alias("semitrailer_price_eur"),
-        F.avg("l_tax").alias("fuel_price_per_litre"),
-        F.avg("l_discount").alias("fuel_consumption_coeff"),
-        (F.avg("l_discount") * 100).alias("interest_rate_pct"),
-        money(F.sum(price * disc), 1000000.0).alias("combustible_eur"))
+        (F.sum(tax) / F.count(tax) / 100).alias("fuel_price_per_litre"),
+        (F.sum(disc) / F.count(disc) / 100).alias("fuel_consumption_coeff"),
+        (F.sum(disc) / F.count(disc)).alias("interest_rate_pct"),
+        money(exact_sum(price * disc), 1000000.0).alias("combustible_eur"))
     return g
 
 
 def cost_raw(src: "PanelSource") -> DataFrame:
-    """cost model per ship quarter (period = first day of the quarter); one
-    quarter is left out to stand for an unpublished period."""
-    g = src.cost_cube().where(~((F.col("y") == GAP_YEAR) & (F.col("q") == GAP_QUARTER)))
+    """cost model per ship quarter (period = first day of the quarter)."""
+    g = src.cost_cube()
     return g.select(
         F.make_date("y", (F.col("q") - 1) * 3 + 1, F.lit(1)).alias("period"),
         F.lit(VEHICLE_TYPE).alias("vehicle_type"),
@@ -359,11 +365,15 @@ class PanelSource:
     }
     BUILDERS = {"flow": flow_cube, "ship": ship_cube, "cost": cost_cube}
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True,
+                 location: str | None = None):
+        """``location``: read the raw panels stored there by ``write_panels``
+        instead of deriving them. ``materialize=False`` runs no job."""
         self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
+        self.location = location
         self._cubes: dict = {}
         self._nations = None
-        self._n_nations = None
+        self._pair = None     # nations of the flows being derived (None: all)
         self._window = None   # year window of the panel being derived
         self._typed = False   # the panel being derived needs the typed flow cube
         self.typed_flows = False  # set by queries that read cargo and other flow panels
@@ -372,7 +382,8 @@ class PanelSource:
         kw = {}
         if name == "flow":
             kw["typed"] = self._typed or self.typed_flows
-        key = (name, self._window, kw.get("typed"))
+            kw["pair"] = self._pair
+        key = (name, self._window, kw.get("typed"), *([self._pair] if self._pair else []))
         if name == "flow" and key not in self._cubes:
             kw["nations"] = self.nations()   # already size-checked once
         if key not in self._cubes:
@@ -397,25 +408,40 @@ class PanelSource:
         if self._nations is None:
             n = read_table(self.spark, self.sf_dir, "nation",
                            ["n_nationkey", "n_name", "n_regionkey"])
-            self._nations, self._n_nations = checked_broadcast(n, N_NATIONS_MAX)
+            self._nations = checked_broadcast(n, N_NATIONS_MAX)[0] if self.materialize else n
         return self._nations
 
-    def n_nations(self) -> int:
-        """Rows of the nation dimension (from the broadcast size check)."""
-        self.nations()
-        return self._n_nations
+    def nation_span(self) -> int:
+        """Places a grid keeps for the nations: the largest key plus one."""
+        return self.nations().agg(F.max("n_nationkey")).first()[0] + 1
 
-    def raw(self, name: str) -> DataFrame:
-        self._window, self._typed = None, name in self.TYPED
+    def _panel(self, name: str) -> DataFrame:
+        if self.location:
+            return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.location}/{name}")
+        self._typed = name in self.TYPED
         try:
             return RAW[name](self)
         finally:
             self._typed = False
 
-    def clean(self, name: str) -> DataFrame:
+    def raw(self, name: str) -> DataFrame:
+        self._window = None
+        return self._panel(name)
+
+    def clean(self, name: str, years=None, pair=None) -> DataFrame:
+        """The cleaned panel. ``years`` narrows the year window and ``pair``
+        (origin, destination nation) the flows before the cube is built."""
         from odpanel.operators.cleaning import CLEANERS
-        self._window, self._typed = self.CLEAN_WINDOWS[name][1], name in self.TYPED
+        self._window, self._pair = years or self.CLEAN_WINDOWS[name][1], pair
         try:
-            return CLEANERS[name](RAW[name](self))
+            return CLEANERS[name](self._panel(name))
         finally:
-            self._window, self._typed = None, False
+            self._window, self._pair = None, None
+
+
+def write_panels(src: PanelSource, location: str) -> None:
+    """Store the six raw panels once as parquet under ``location``, for
+    ``PanelSource(..., location=...)`` to read many times."""
+    src.typed_flows = True
+    for name in RAW:
+        src.raw(name).write.mode("overwrite").parquet(f"{location}/{name}")

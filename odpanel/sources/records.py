@@ -1,8 +1,8 @@
-"""Record files derived from the cost panel (test input for record extraction).
+"""Record files derived from the cost panel.
 
-Each cost row becomes one fixed-line text record encoded as Latin-1 bytes,
-with the fields on their line numbers and filler elsewhere, so that
-extraction must return the cost rows. One record is cut short.
+Each cost row becomes one fixed-line text file of 256 lines in a folder of
+its period, with the fields on their line numbers and filler elsewhere, so
+that extraction must return the cost rows.
 """
 
 from __future__ import annotations
@@ -10,29 +10,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from odpanel.operators.records import DATE_FIELDS, MIN_LINES, RECORD_LINES, TEXT_FIELDS
-
-SHORT_PERIOD = "1995-01-01"   # this record loses its last line
+# The record format, by line number (from 1). Held here apart
+# from the extractor's list, so that an error in either shows.
+LINES = 256
+LAYOUT = {
+    129: "vehicle_type", 135: "km_anual", 136: "pct_carga", 137: "horas_anuales",
+    142: "vehicle_price_eur", 148: "interest_rate_pct", 159: "semitrailer_price_eur",
+    177: "personal_conduccion_eur", 182: "dietas_conductor_eur", 192: "seguros_eur",
+    202: "costes_fiscales_eur", 206: "fuel_price_per_litre", 207: "fuel_consumption_coeff",
+    229: "peajes_eur", 235: "urea_eur", 240: "costes_indirectos_eur", 256: "period",
+}
 FILLER = "0"
 
 
-def cost_records(cost: DataFrame) -> DataFrame:
-    """(path, content) per cost row; the layout is a 256-element array."""
-    by_line = {}
-    for name, n in RECORD_LINES.items():
-        c = F.col(name)
-        if name in TEXT_FIELDS:
-            v = F.concat(F.lit('"'), c, F.lit('"'))
-        elif name in DATE_FIELDS:
-            v = F.concat(F.lit("#"), c.cast("string"), F.lit("#"))
-        else:
-            v = c.cast("string")
-        by_line[n] = F.coalesce(v, F.lit(""))
-    arr = F.array(*[by_line.get(i, F.lit(FILLER)) for i in range(1, MIN_LINES + 1)])
-    short = F.col("period") == F.lit(SHORT_PERIOD).cast("date")
-    arr = F.when(short, F.slice(arr, 1, MIN_LINES - 1)).otherwise(arr)
-    text = F.array_join(arr, "\n")
-    return cost.select(
-        F.concat(F.lit("records/"), F.col("period").cast("string"),
-                 F.lit("/Articulado Carga General.obs")).alias("path"),
-        F.encode(text, "ISO-8859-1").alias("content"))
+def record_text(lines: int = LINES) -> F.Column:
+    """The record of a cost row: text in quotes, the date between hashes."""
+    def line(i: int):
+        name = LAYOUT.get(i)
+        if name is None:
+            return F.lit(FILLER)
+        text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        mark = F.lit({"vehicle_type": '"', "period": "#"}.get(name, ""))
+        return F.concat(mark, text, mark)
+
+    return F.array_join(F.array(*[line(i) for i in range(1, lines + 1)]), "\n")
+
+
+def write_records(cost: DataFrame, root: str) -> None:
+    """One text file per cost row under ``root``, in folders by period."""
+    (cost.select(record_text().alias("value"), F.col("period").cast("string").alias("folder"))
+     .write.mode("overwrite").partitionBy("folder").text(root))

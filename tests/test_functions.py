@@ -104,3 +104,49 @@ def test_rule_table_matches_case_rules(spark):
                                    "prefix string, canon string")
     c = {r.k: r.label for r in normalize_with_rule_table(df, "t", rules2).collect()}
     assert c[0] == "C" and c[1] == "CyL"
+
+
+def test_final_line_ending_is_no_line(spark):
+    from odpanel.operators.records import record_quality
+    text = "\n".join(["0"] * 255)
+    files = spark.createDataFrame([(str(i), bytearray(t.encode())) for i, t in enumerate(
+        [text + "\n", text + "\n1", text + "\n1\n", text + "\r\n1\r\n"])],
+        "path string, content binary")
+    assert record_quality(files).first().short_records == 1
+    assert extract_records(files).count() == 3
+
+
+def test_labels_meet_every_rule_and_none(spark):
+    from odpanel.functions import normalize_label
+    from odpanel.functions.labels import REGION_PREFIXES
+    labels = [p + "x y" for p in REGION_PREFIXES] + ["TOTAL\n", "\tMadrid\x1f", "Elsewhere ", ""]
+    want = [*REGION_PREFIXES.values(), None, "Madrid", "Elsewhere", ""]
+    df = spark.createDataFrame(list(enumerate(labels)), "i int, raw string")
+    got = df.select("i", normalize_label("raw").alias("label")).orderBy("i").collect()
+    assert [r.label for r in got] == want
+    rules = {"A": "short", "Ab": "long"}
+    one = spark.createDataFrame([("Abc",)], "raw string")
+    assert one.select(normalize_label("raw", rules).alias("x")).first().x == "long"
+
+
+def test_cells_of_every_kind(spark):
+    from odpanel.functions.columns import SENTINELS
+    texts = [*SENTINELS, "\t..\n", " 12.5 ", "\x0b7", "1e3", "abc", "1,5", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string") \
+        .withColumn("num", F.lit(None).cast("double"))
+    got = [r.v for r in df.select("i", clean_cell().alias("v")).orderBy("i").collect()]
+    assert got == [None] * (len(SENTINELS) + 1) + [12.5, 7.0, 1000.0, None, None, None]
+
+
+def test_odd_years_and_sheets_do_not_fail(spark):
+    from odpanel.operators.grid import block_table, find_blocks, header_year
+    df = spark.createDataFrame([(1e18, None), (None, "99999999999"), (None, " 1999\n")],
+                               "num double, text string")
+    assert [r.y for r in df.select(header_year().alias("y")).collect()] == [None, None, 1999]
+    cells = spark.createDataFrame(
+        [("f_2020", "plain", 20, 0, None, "Madrid"),
+         ("f_2020", "plain", 21, 0, None, "Total transportado"),
+         ("f_2020", "plain", 27, 2, 4.0, None)],
+        "file string, sheet string, row int, col int, num double, text string")
+    out = block_table(cells, find_blocks(cells), {"expedido": 7}, {2: "A"}, {0: "B"}, {"x": "m"})
+    assert [(r.year, r.value, r.metric) for r in out.collect()] == [(2020, 4.0, None)]

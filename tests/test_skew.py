@@ -55,7 +55,7 @@ def test_hot_region_shares_are_whole(spark, skew_conf):
 def test_salted_join_spreads_hot_key(spark, skew_conf):
     from pyspark.sql import functions as F
 
-    from odpanel.operators.flows import SALTS, with_group_total
+    from odpanel.operators.flows import salted_lookup, with_group_total
     rows = [(1, float(i)) for i in range(4000)] + [(k, 1.0) for k in range(2, 50)]
     df = spark.createDataFrame(rows, "k int, v double")
     out = with_group_total(df, ["k"], "v")
@@ -64,4 +64,8 @@ def test_salted_join_spreads_hot_key(spark, skew_conf):
     assert len(per_task) > 1 and max(r["count"] for r in per_task) < 4000
     assert out.count() == len(rows)
     assert {r.total for r in out.where(F.col("k") == 1).collect()} == {sum(range(4000)) * 1.0}
-    assert SALTS > 1
+    equal = spark.createDataFrame([(1,)] * 4000, "k int").repartition(8)
+    one = spark.createDataFrame([(1, "x")], "k int, name string")
+    spread = (salted_lookup(equal, one, ["k"], salts=16)
+              .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert len(spread) > 1 and sum(r["count"] for r in spread) == 4000

@@ -28,8 +28,11 @@ def test_record_files_from_folders(spark):
                                       ("2020-04", "2020-04-30", 2000, False),
                                       ("2020-07", "2020-07-31", 3000, True)]:
         os.makedirs(os.path.join(root.replace("file:", ""), folder), exist_ok=True)
-        with open(os.path.join(root.replace("file:", ""), folder, "Articulado.obs"), "wb") as f:
+        with open(os.path.join(root.replace("file:", ""), folder, "Articulado Carga General.obs"),
+                  "wb") as f:
             f.write(_record(period, km, short))
+    with open(os.path.join(root.replace("file:", ""), "2020-01", "Furgoneta.obs"), "wb") as f:
+        f.write(_record("2020-01-31", 7, False))   # another vehicle's record
     with open(os.path.join(root.replace("file:", ""), "notes.txt"), "wb") as f:
         f.write(b"not a record")
     out = extract_records(read_records(spark, root)).collect()
@@ -45,7 +48,7 @@ def test_matrix_halves_sentinels_diagonal_exclusion(spark):
         ("f_2020", "Ms", 17, 0, None, ".."),
         ("f_2020", "M", 18, 1, 3.0, None), ("f_2020", "Ms", 18, 0, 9.0, None),
         ("f_2020", "M", 19, 2, None, " 4 "), ("f_2020", "Ms", 19, 0, 1.0, None)], CELLS)
-    m = od_matrix(cells, {"M": ("Ms", "tonnes")}, 17, 3, [1, 2], [0])
+    m = od_matrix(cells, {"M": ("Ms", "tonnes")}, 17, 3, range(1, 3), range(1))
     labels = spark.createDataFrame([(0, "A"), (1, "B"), (2, "C")], "idx int, name string")
     got = sorted(tuple(r) for r in od_long(m, labels, excluded=["C"]).collect())
     assert got == [(2020, "A", "B", "tonnes", 7.0), (2020, "B", "A", "tonnes", 3.0)]
