@@ -13,9 +13,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import NumericType
 
-from odpanel.functions import blank_or_null, year_prefix
+from odpanel.functions import blank_or_null
 
 
 def present(df: DataFrame, cols) -> list:
@@ -47,20 +47,32 @@ def long_views(tables: dict, cols: dict | None = None, blanks: dict | None = Non
                      for name, df in tables.items())
 
 
+KEYS = ["dataset", "column_name"]
+
+
 def profile_tables(tables: dict, cols: dict | None = None,
                    blanks: dict | None = None) -> DataFrame:
-    """``profile`` of several tables at once: (dataset, column_name, n_rows,
-    n_null, n_distinct, min_v, max_v, avg_v) from two aggregates and a join."""
-    lv = long_views(tables, cols, blanks)
-    keys = ["dataset", "column_name"]
-    stats = lv.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if("blank").alias("n_null"),
-        F.min("value_num").alias("min_v"), F.max("value_num").alias("max_v"),
-        F.avg("value_num").alias("avg_v"))
-    nd = (lv.select(*keys, "value_text").distinct()
-          .groupBy(*keys).agg(F.count(F.lit(1)).alias("n_distinct")))
-    return stats.join(nd, keys).select(*keys, "n_rows", "n_null", "n_distinct", "min_v",
-                                       "max_v", "avg_v")
+    """Column profile of several tables at once: (dataset, column_name,
+    n_rows, n_null, n_distinct, min_v, max_v, avg_v).
+
+    One long view, aggregated to its different values with their counts and
+    those to the columns: NULL counts as one more value, and the mean is that
+    of the values weighted by their counts."""
+    values = long_views(tables, cols, blanks).groupBy(*KEYS, "value_text").agg(
+        F.count(F.lit(1)).alias("n"), F.max("blank").alias("blank"),
+        F.max("value_num").alias("v"))
+    n_num = F.sum(F.when(F.col("v").isNotNull(), F.col("n")))
+    return values.groupBy(*KEYS).agg(
+        F.sum("n").alias("n_rows"),
+        F.sum(F.when(F.col("blank"), F.col("n")).otherwise(0)).alias("n_null"),
+        F.count(F.lit(1)).alias("n_distinct"), F.min("v").alias("min_v"),
+        F.max("v").alias("max_v"),
+        (F.sum(F.col("v") * F.col("n")) / n_num).alias("avg_v"))
+
+
+def profile(df: DataFrame, cols=None) -> DataFrame:
+    """``profile_tables`` of one table."""
+    return profile_tables({"": df}, {"": cols}).drop("dataset")
 
 
 def describe_values(values: DataFrame, keys, value: str = "v", accuracy: int = 10000) -> DataFrame:
@@ -83,10 +95,16 @@ def describe_values(values: DataFrame, keys, value: str = "v", accuracy: int = 1
     return mm.join(mode, keys).select(*keys, "mean", "median", "mode")
 
 
-def value_counts(df: DataFrame, col: str) -> DataFrame:
-    """(value, count) sorted by count desc, value asc (map-side combined)."""
-    return (df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
-            .orderBy(F.desc("count"), F.asc_nulls_last("value")))
+def value_counts(tables: dict, columns) -> DataFrame:
+    """Frequencies (dataset, column_name, value, count) of the listed
+    (dataset, column) pairs, in one aggregate; sorted by dataset, count
+    descending, value."""
+    vals = union_all(tables[ds].select(F.lit(ds).alias("dataset"),
+                                       F.lit(c).alias("column_name"),
+                                       F.col(c).cast("string").alias("value"))
+                     for ds, c in columns)
+    return vals.groupBy(*KEYS, "value").agg(F.count(F.lit(1)).alias("count")).orderBy(
+        "dataset", F.desc("count"), F.asc_nulls_last("value"))
 
 
 def year_counts(df: DataFrame, col: str = "period") -> DataFrame:
@@ -95,54 +113,41 @@ def year_counts(df: DataFrame, col: str = "period") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("count")).orderBy("year"))
 
 
-def distinct_values(df: DataFrame, cols) -> DataFrame:
-    """(column_name, value) distinct pairs for several columns in one shuffle,
-    values as text, NULL kept as a value."""
-    lv = long_view(df, cols)
-    return lv.select("column_name", F.col("value_text").alias("value")).distinct()
+def distinct_values(tables: dict, cols: dict) -> DataFrame:
+    """(dataset, column_name, value) distinct pairs of several columns in one
+    shuffle, values as text, NULL kept as a value."""
+    return long_views(tables, cols).select(
+        *KEYS, F.col("value_text").alias("value")).distinct()
 
 
-def profile_nulls(df: DataFrame, cols=None) -> DataFrame:
-    """(column_name, n_null): NULL, or blank / '..' for strings."""
-    return long_view(df, cols).groupBy("column_name").agg(
+def profile_nulls(tables: dict, cols: dict | None = None,
+                  blanks: dict | None = None) -> DataFrame:
+    """(dataset, column_name, n_null): NULL, or a blank text for strings."""
+    return long_views(tables, cols, blanks).groupBy(*KEYS).agg(
         F.count_if("blank").alias("n_null"))
 
 
-def profile_distinct(df: DataFrame, cols=None, approx: bool = False) -> DataFrame:
-    """(column_name, n_distinct) with NULL counted as one more value.
+def profile_distinct(tables: dict, cols: dict | None = None, approx: bool = False) -> DataFrame:
+    """(dataset, column_name, n_distinct) with NULL counted as one more value.
 
     Exact: distinct (column, value) pairs, then a count per column (both
     steps aggregate map-side). ``approx=True`` uses HyperLogLog++ sketches,
     one aggregate, for very wide or very large tables.
     """
-    lv = long_view(df, cols)
+    lv = long_views(tables, cols)
     if approx:
-        return lv.groupBy("column_name").agg(
+        return lv.groupBy(*KEYS).agg(
             (F.approx_count_distinct("value_text")
              + F.max(F.col("value_text").isNull().cast("int"))).alias("n_distinct"))
-    return (lv.select("column_name", "value_text").distinct()
-            .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct")))
-
-
-def profile_numeric(df: DataFrame, cols) -> DataFrame:
-    """(column_name, min_v, max_v, avg_v) for numeric columns, one aggregate."""
-    return long_view(df, cols).groupBy("column_name").agg(
-        F.min("value_num").alias("min_v"), F.max("value_num").alias("max_v"),
-        F.avg("value_num").alias("avg_v"))
+    return (lv.select(*KEYS, "value_text").distinct()
+            .groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_distinct")))
 
 
-def profile(df: DataFrame, cols=None) -> DataFrame:
-    """Full column profile: rows, NULL-or-blank, distinct (NULL counted),
-    numeric min / max / mean; two aggregates over the long view."""
-    lv = long_view(df, cols)
-    stats = lv.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if("blank").alias("n_null"),
+def profile_numeric(tables: dict, cols: dict) -> DataFrame:
+    """(dataset, column_name, min_v, max_v, avg_v) of numeric columns."""
+    return long_views(tables, cols).groupBy(*KEYS).agg(
         F.min("value_num").alias("min_v"), F.max("value_num").alias("max_v"),
         F.avg("value_num").alias("avg_v"))
-    nd = (lv.select("column_name", "value_text").distinct()
-          .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct")))
-    return stats.join(nd, "column_name").select(
-        "column_name", "n_rows", "n_null", "n_distinct", "min_v", "max_v", "avg_v")
 
 
 def describe_column(df: DataFrame, col: str, accuracy: int = 10000) -> DataFrame:
@@ -168,16 +173,3 @@ def describe_table(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 def union_all(frames) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
-
-
-def labelled(dataset: str, df: DataFrame) -> DataFrame:
-    return df.select(F.lit(dataset).alias("dataset"), *df.columns)
-
-
-def is_string(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, StringType)
-
-
-__all__ = ["present", "long_view", "long_views", "profile_tables", "describe_values", "value_counts", "year_counts", "distinct_values", "profile_nulls",
-           "profile_distinct", "profile_numeric", "profile", "describe_column",
-           "describe_table", "union_all", "labelled", "year_prefix", "is_string"]

@@ -139,19 +139,19 @@ _NUMC = {
 }
 _add("profile_numeric", " UNION ALL ".join(
     f"SELECT '{ds}' AS dataset, '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS min_v, "
-    f"CAST(max({c}) AS DOUBLE) AS max_v, avg({c}) AS avg_v FROM {ds}_raw"
+    f"CAST(max({c}) AS DOUBLE) AS max_v, avg({c}) + 1e-9 AS avg_v FROM {ds}_raw"
     for ds, cols in _NUMC.items() for c in cols), ["min_v", "max_v", "avg_v"])
 _add("profile_summary", " UNION ALL ".join(
     f"SELECT '{ds}' AS dataset, '{c}' AS column_name, count(*) AS n_rows, "
     f"count(*) FILTER (WHERE {_blank(c, k, ds)}) AS n_null, {_ndist(c)} AS n_distinct, "
-    f"{_num(c, k, 'min')} AS min_v, {_num(c, k, 'max')} AS max_v, {_num(c, k, 'avg')} AS avg_v "
+    f"{_num(c, k, 'min')} AS min_v, {_num(c, k, 'max')} AS max_v, {_num(c, k, 'avg')} + 1e-9 AS avg_v "
     f"FROM {ds}_raw" for ds, cols in _RAW_COLS.items() for c, k in cols),
     ["min_v", "max_v", "avg_v"])
 _CLEAN_DROPPED = {"vehicle_type", "vehicle_price_eur", "semitrailer_price_eur", "interest_rate_pct"}
 _add("profile_summary_clean", " UNION ALL ".join(
     f"SELECT '{ds}' AS dataset, '{c}' AS column_name, count(*) AS n_rows, "
     f"count(*) FILTER (WHERE {_blank(c, k, ds)}) AS n_null, {_ndist(c)} AS n_distinct, "
-    f"{_num(c, k, 'min')} AS min_v, {_num(c, k, 'max')} AS max_v, {_num(c, k, 'avg')} AS avg_v "
+    f"{_num(c, k, 'min')} AS min_v, {_num(c, k, 'max')} AS max_v, {_num(c, k, 'avg')} + 1e-9 AS avg_v "
     f"FROM {ds}" for ds, cols in _RAW_COLS.items() for c, k in cols
     if not (ds == "cost" and c in _CLEAN_DROPPED)),
     ["min_v", "max_v", "avg_v"])

@@ -25,5 +25,5 @@ def test_profile_any_types(spark):
     assert p["i"].n_distinct == 2  # 1 and NULL
     assert p["d"].min_v == 1.5 and p["d"].max_v == 2.5
     assert p["s"].min_v is None
-    nd = {r.column_name: r.n_distinct for r in profile_distinct(df).collect()}
+    nd = {r.column_name: r.n_distinct for r in profile_distinct({"": df}).collect()}
     assert nd == {"i": 2, "d": 3, "t": 2, "s": 3}
