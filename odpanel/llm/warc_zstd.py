@@ -31,7 +31,7 @@ from odpanel.session import shared_dir
 MIN_REVISIT = 100
 ARCHIVE_BYTES = 64 << 20     # compressed size at which the next archive begins
 DICT_BYTES = 64 << 10
-SAMPLE_RECORDS = 500         # records the dictionary is trained on, by hash order
+SAMPLE_RECORDS = 500         # about so many records train the dictionary, chosen by hash
 SAMPLE_MAX_BYTES = 32 << 10  # larger payloads are not sampled (they are archived)
 LEVEL = 5
 READ_BYTES = 1 << 20
@@ -176,8 +176,12 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("html")) \
         .filter("page_id is not null")
+    # by a hash threshold, so that tasks send the sample alone to the driver;
+    # the limit only guards against one page_id repeated many times
+    share = min(1.0, SAMPLE_RECORDS / max(1, src.count()))
+    place = F.shiftrightunsigned(F.xxhash64("page_id"), 11) / F.lit(float(1 << 53))
     sample = src.filter(F.octet_length("html").between(64, SAMPLE_MAX_BYTES)) \
-        .orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_RECORDS).collect()
+        .filter(place < share).limit(2 * SAMPLE_RECORDS).collect()
     dictionary = train_dictionary(sorted(
         record(r.page_id, r.url, bytes(r.html), hashlib.sha256(r.html).hexdigest(), None)
         for r in sample))
