@@ -243,6 +243,16 @@ def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS
         yield block
 
 
+_held: list = []   # per Python worker: the block indexed last, its rate and index
+
+
+def _index(block: list[tuple[int, str]], rate: float) -> Items:
+    """The index of a broadcast block, built once per worker."""
+    if not _held or _held[0] is not block or _held[1] != rate:
+        _held[:] = [block, rate, Items(block, rate)]
+    return _held[2]
+
+
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     for rows, texts in byte_slices(batch, "text", RUN_BYTES):
         yield rows, [t.decode("utf-8", "replace") if t else "" for t in texts]
@@ -263,7 +273,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE)
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items = Items(shared.value, rate)
+            items = _index(shared.value, rate)
             for batch in batches:
                 for rows, texts in _runs(batch):
                     hits = items.search(texts)
@@ -287,7 +297,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE)
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items = Items(shared.value, rate)
+            items = _index(shared.value, rate)
             for batch in batches:
                 for rows, texts in _runs(batch):
                     bad = {h[0] for h in items.search(texts)}
