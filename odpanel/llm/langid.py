@@ -119,6 +119,8 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def snippets(text: str) -> list[str]:
+    """Evenly spaced runs of SNIPPET_WORDS words over the whole text, SNIPPETS
+    at most. The snippets of the snippets joined are the same again."""
     words = LETTERS.findall(text.lower())
     parts = [words[i:i + SNIPPET_WORDS] for i in range(0, len(words), SNIPPET_WORDS)]
     step = max(1, -(-len(parts) // SNIPPETS))
@@ -219,8 +221,20 @@ def sample(docs: DataFrame, per_lang: int = PER_LANG) -> list[tuple[int, str, st
     w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = ids.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= per_lang) \
         .select("doc_id").distinct()
-    # at most per_lang ids of each language, as many as the sample collected here
-    rows = labelled.join(F.broadcast(chosen), "doc_id", "left_semi").collect()
+    # at most per_lang ids of each language, as many as the sample collected here;
+    # the tasks cut the texts to their training snippets, so its bytes are bounded too
+    chosen_rows = labelled.join(F.broadcast(chosen), "doc_id", "left_semi")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, texts in byte_slices(batch, "text"):
+                short = [" ".join(s.strip() for s in snippets(t.decode("utf-8", "replace")))
+                         for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), pa.array(short, pa.string()), rows.column(2)],
+                    ["doc_id", "text", "lang"])
+
+    rows = chosen_rows.mapInArrow(cut, "doc_id long, text string, lang string").collect()
     return sorted((r.doc_id, r.text, r.lang) for r in rows)
 
 

@@ -51,6 +51,13 @@ def test_ngrams_stay_inside_words():
     assert got == grams(norm)
 
 
+def test_snippets_of_snippets_are_the_same():
+    for n in (0, 5, 24, 25, 600, 5000):
+        once = langid.snippets(" ".join(f"w{chr(97 + i % 26)}x" for i in range(n)))
+        assert langid.snippets(" ".join(s.strip() for s in once)) == once
+        assert len(once) <= langid.SNIPPETS
+
+
 def test_prediction_does_not_depend_on_neighbours():
     rows = [(i, t, "ab"[i % 2]) for i, t in enumerate(["the cat sat", "der hund lief"] * 20)]
     model = langid.train(rows, epochs=2)
