@@ -101,6 +101,12 @@ PREDICATES = {
 }
 
 
+def sort_dimensions(df: DataFrame, measures=("value", "price_index")) -> DataFrame:
+    """A long table sorted on all its dimensions, in column order. Opt-in: a
+    global sort is a shuffle that most consumers do not need."""
+    return df.orderBy(*[c for c in df.columns if c not in measures])
+
+
 def table_summary(raws: dict[str, DataFrame]) -> DataFrame:
     """Raw rows, cleaned rows and cleaned column count per dataset.
 

@@ -30,3 +30,19 @@ def test_csv_overwrite_single_file_and_schema(spark):
     back = read_csv(spark, path, PRICE_INDEX)
     assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
     assert back.schema == PRICE_INDEX
+
+
+def test_catalog_scan_and_conf_path(spark, tmp_path):
+    from odpanel.operators.cleaning import sort_dimensions
+    from odpanel.sources.tables import conf_or_default, scan_table
+    df = spark.createDataFrame([(2, "b", 1.0), (1, "c", 2.0), (1, "a", 3.0)],
+                               "year int, region string, value double")
+    spark.sql("CREATE DATABASE IF NOT EXISTS scans")
+    df.write.mode("overwrite").saveAsTable("scans.panel")
+    df.write.parquet(f"{tmp_path}/panel")
+    spark.conf.set("odpanel.panel", f"{tmp_path}/panel")
+    for name in ("scans.panel", conf_or_default(spark, "odpanel.panel", "none"),
+                 conf_or_default(spark, "odpanel.absent", "scans.panel")):
+        got = sort_dimensions(scan_table(spark, name)).collect()
+        assert [(r.year, r.region) for r in got] == [(1, "a"), (1, "c"), (2, "b")]
+    spark.sql("DROP DATABASE scans CASCADE")
