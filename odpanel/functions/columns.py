@@ -36,6 +36,20 @@ def safe_div(num, den, positive_only: bool = False) -> Column:
     return F.when(den > 0, q) if positive_only else q
 
 
+MEAN_TYPE = "decimal(25,8)"
+
+
+def exact_mean(value, weight=None) -> Column:
+    """Mean of a double column from the exact sum of its values at eight
+    decimals, so that it does not hang on the order of summation; with
+    ``weight``, each value counts so many times."""
+    v = _c(value).try_cast(MEAN_TYPE)
+    if weight is None:
+        return F.try_divide(F.sum(v).cast("double"), F.count(v))
+    n = F.when(v.isNotNull(), _c(weight))
+    return F.try_divide(F.sum(v * n.cast("decimal(10,0)")).cast("double"), F.sum(n))
+
+
 def null_strict_sum(cols) -> Column:
     """Sum of several columns; one NULL operand makes the result NULL."""
     return reduce(add, [_c(c) for c in cols])

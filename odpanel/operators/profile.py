@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from odpanel.functions import blank_or_null
+from odpanel.functions import blank_or_null, exact_mean
 
 
 def present(df: DataFrame, cols) -> list:
@@ -61,13 +61,12 @@ def profile_tables(tables: dict, cols: dict | None = None,
     values = long_views(tables, cols, blanks).groupBy(*KEYS, "value_text").agg(
         F.count(F.lit(1)).alias("n"), F.max("blank").alias("blank"),
         F.max("value_num").alias("v"))
-    n_num = F.sum(F.when(F.col("v").isNotNull(), F.col("n")))
     return values.groupBy(*KEYS).agg(
         F.sum("n").alias("n_rows"),
         F.sum(F.when(F.col("blank"), F.col("n")).otherwise(0)).alias("n_null"),
         F.count(F.lit(1)).alias("n_distinct"), F.min("v").alias("min_v"),
         F.max("v").alias("max_v"),
-        (F.sum(F.col("v") * F.col("n")) / n_num).alias("avg_v"))
+        exact_mean("v", "n").alias("avg_v"))
 
 
 def profile(df: DataFrame, cols=None) -> DataFrame:
@@ -86,7 +85,7 @@ def describe_values(values: DataFrame, keys, value: str = "v", accuracy: int = 1
     """
     keys = list(keys)
     mm = values.groupBy(*keys).agg(
-        F.avg(value).alias("mean"),
+        exact_mean(value).alias("mean"),
         F.percentile_approx(value, 0.5, accuracy).cast("double").alias("median"))
     counts = values.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     mode = counts.groupBy(*keys).agg(
@@ -147,7 +146,7 @@ def profile_numeric(tables: dict, cols: dict) -> DataFrame:
     """(dataset, column_name, min_v, max_v, avg_v) of numeric columns."""
     return long_views(tables, cols).groupBy(*KEYS).agg(
         F.min("value_num").alias("min_v"), F.max("value_num").alias("max_v"),
-        F.avg("value_num").alias("avg_v"))
+        exact_mean("value_num").alias("avg_v"))
 
 
 def describe_column(df: DataFrame, col: str, accuracy: int = 10000) -> DataFrame:

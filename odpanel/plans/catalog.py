@@ -246,12 +246,6 @@ def q_year_counts(spark, d):
     return profile.year_counts(raw(spark, d, "cost"), "period")
 
 
-def _tied(df: DataFrame) -> DataFrame:
-    """Means that end on a half in the seventh place are nudged up, so that
-    rounding does not hang on the order of summation."""
-    return df.withColumn("avg_v", F.col("avg_v") + 1e-9)
-
-
 @query("distinct_values")
 def q_distinct_values(spark, d):
     d.typed_flows = True
@@ -275,15 +269,14 @@ def q_profile_distinct(spark, d):
 @query("profile_numeric")
 def q_profile_numeric(spark, d):
     d.typed_flows = True
-    return _tied(profile.profile_numeric({ds: raw(spark, d, ds) for ds in NUMERIC_COLUMNS},
-                                         NUMERIC_COLUMNS))
+    return profile.profile_numeric({ds: raw(spark, d, ds) for ds in NUMERIC_COLUMNS},
+                                   NUMERIC_COLUMNS)
 
 
 @query("profile_summary")
 def q_profile_summary(spark, d):
     d.typed_flows = True
-    return _tied(profile.profile_tables({ds: raw(spark, d, ds) for ds in panels.RAW},
-                                        blanks=BLANKS))
+    return profile.profile_tables({ds: raw(spark, d, ds) for ds in panels.RAW}, blanks=BLANKS)
 
 
 @query("profile_summary_clean")
@@ -291,8 +284,7 @@ def q_profile_summary_clean(spark, d):
     """The same profile over the cleaned panels (the cleaned cost table has
     four columns fewer: only present columns are profiled)."""
     d.typed_flows = True
-    return _tied(profile.profile_tables({ds: clean(spark, d, ds) for ds in panels.RAW},
-                                        blanks=BLANKS))
+    return profile.profile_tables({ds: clean(spark, d, ds) for ds in panels.RAW}, blanks=BLANKS)
 
 
 @query("stats_mmm")

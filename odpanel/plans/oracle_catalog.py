@@ -103,7 +103,14 @@ def _ndist(c):
             f"THEN 1 ELSE 0 END")
 
 
+def _mean(c):
+    """Exact at eight decimals, so that no order of summation shows."""
+    return f"CAST(sum(CAST({c} AS DECIMAL(38, 8))) AS DOUBLE) / count({c})"
+
+
 def _num(c, kind, fn):
+    if kind == "num" and fn == "avg":
+        return _mean(c)
     return f"CAST({fn}({c}) AS DOUBLE)" if kind == "num" else "CAST(NULL AS DOUBLE)"
 
 
@@ -139,19 +146,19 @@ _NUMC = {
 }
 _add("profile_numeric", " UNION ALL ".join(
     f"SELECT '{ds}' AS dataset, '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS min_v, "
-    f"CAST(max({c}) AS DOUBLE) AS max_v, avg({c}) + 1e-9 AS avg_v FROM {ds}_raw"
+    f"CAST(max({c}) AS DOUBLE) AS max_v, {_mean(c)} AS avg_v FROM {ds}_raw"
     for ds, cols in _NUMC.items() for c in cols), ["min_v", "max_v", "avg_v"])
 _add("profile_summary", " UNION ALL ".join(
     f"SELECT '{ds}' AS dataset, '{c}' AS column_name, count(*) AS n_rows, "
     f"count(*) FILTER (WHERE {_blank(c, k, ds)}) AS n_null, {_ndist(c)} AS n_distinct, "
-    f"{_num(c, k, 'min')} AS min_v, {_num(c, k, 'max')} AS max_v, {_num(c, k, 'avg')} + 1e-9 AS avg_v "
+    f"{_num(c, k, 'min')} AS min_v, {_num(c, k, 'max')} AS max_v, {_num(c, k, 'avg')} AS avg_v "
     f"FROM {ds}_raw" for ds, cols in _RAW_COLS.items() for c, k in cols),
     ["min_v", "max_v", "avg_v"])
 _CLEAN_DROPPED = {"vehicle_type", "vehicle_price_eur", "semitrailer_price_eur", "interest_rate_pct"}
 _add("profile_summary_clean", " UNION ALL ".join(
     f"SELECT '{ds}' AS dataset, '{c}' AS column_name, count(*) AS n_rows, "
     f"count(*) FILTER (WHERE {_blank(c, k, ds)}) AS n_null, {_ndist(c)} AS n_distinct, "
-    f"{_num(c, k, 'min')} AS min_v, {_num(c, k, 'max')} AS max_v, {_num(c, k, 'avg')} + 1e-9 AS avg_v "
+    f"{_num(c, k, 'min')} AS min_v, {_num(c, k, 'max')} AS max_v, {_num(c, k, 'avg')} AS avg_v "
     f"FROM {ds}" for ds, cols in _RAW_COLS.items() for c, k in cols
     if not (ds == "cost" and c in _CLEAN_DROPPED)),
     ["min_v", "max_v", "avg_v"])
@@ -161,7 +168,7 @@ _STATS = [("cost", "fuel_price_per_litre", "cost"), ("cost", "combustible_eur",
           ("corridors", "value",
            "(SELECT * FROM corridors WHERE metric = 'transport_operations_total')")]
 _add("stats_mmm", " UNION ALL ".join(
-    f"SELECT '{ds}' AS dataset, '{c}' AS column_name, avg({c}) AS mean, "
+    f"SELECT '{ds}' AS dataset, '{c}' AS column_name, {_mean(c)} AS mean, "
     f"CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS median, "
     f"(SELECT CAST(v AS DOUBLE) FROM (SELECT {c} AS v, count(*) AS n FROM {src} s2 GROUP BY {c}) "
     f"ORDER BY n DESC, v ASC NULLS LAST LIMIT 1) AS mode FROM {src} s1"
