@@ -96,3 +96,24 @@ def test_flow_cube_choice(spark):
     both.typed_flows = True
     corridor_ranking(both.clean("corridors"), both.clean("cargo"))
     assert [k for k in both._cubes if k[0] == "flow"] == [("flow", (1995, 2000), True)]
+
+
+def _jobs_before_an_action(spark, key):
+    spark.sparkContext.setJobGroup(f"jobs-{key}", key)
+    try:
+        E.queries()[key](spark, SF)
+    finally:
+        spark.sparkContext.setJobGroup("none", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"jobs-{key}"))
+
+
+def test_schema_listing_runs_no_job(spark):
+    assert _jobs_before_an_action(spark, "describe_table") == 0
+
+
+def test_spot_filters_reach_the_scans(spark):
+    from odpanel.sources.panels import flow_cube
+    df = flow_cube(spark, SF, years=(2000, 2000), typed=False, pair=("NATION_1", "NATION_2"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 2
+    assert {(r.o_name, r.d_name) for r in df.collect()} <= {("NATION_1", "NATION_2")}
