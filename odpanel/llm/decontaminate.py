@@ -7,7 +7,10 @@ share with the items are counted per item in overlapping diagonal bands of
 2(k+1) diagonals, each beginning k+1 after the one before, so any occurrence
 lies whole in a band. Bands that reach the lemma's bound are verified by
 banded alignment (edit distance of the item against the best stretch of the
-band's text).
+band's text). The edits of an item of 2q characters or more are clamped so
+that its bound stays at one q-gram or more. Shorter items are allowed no edits
+and must stand between word borders, so that they are not found inside other
+words; they are looked up by hash among the stretches of their length.
 
 The items are a stated query set. They go to the tasks in blocks of at most
 ``BLOCK_CHARS`` characters, one pass over the documents each, so what a task
@@ -28,7 +31,7 @@ from odpanel.llm.common import byte_slices
 
 Q = 8
 ERROR_RATE = 0.1          # edits allowed, as a share of the item's characters
-MIN_CHARS = 32            # shorter items (normalised) are not searched: see Items
+SHORT_CHARS = 2 * Q       # shorter items (normalised) are matched unchanged, as whole words
 BLOCK_CHARS = 4 << 20
 RUN_BYTES = 256 << 10     # text looked up at once
 FILTER_BITS = 21
@@ -76,24 +79,56 @@ def qgram_hashes(c: np.ndarray) -> np.ndarray:
     return h * np.uint64(0xD6E8FEB86659FD93)
 
 
-class Items:
-    """The q-gram index of one block of items.
+def stretch_hashes(c: np.ndarray, begin: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of the ``width`` code points from each of ``begin`` on."""
+    h = np.full(len(begin), width, np.uint64)
+    for j in range(width):
+        h = (h ^ c[begin + j].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
+
+
+# Scripts written without spaces, where words may end between any two letters:
+# Thai and Lao, Burmese, Khmer, kana and ideographs with their marks.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007),
+            (0x3040, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x9FFF),
+            (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF))
+
 
-    Items shorter than MIN_CHARS normalised characters are left out: they are
-    ordinary phrases, and the lemma's bound is empty for them."""
+def borders(c: np.ndarray) -> np.ndarray:
+    """Whether a word may begin or end before each of the code points of
+    ``layout``, and after the last."""
+    inner = (c != 32) & (c != 10)
+    for lo, hi in UNSPACED:
+        inner &= (c < lo) | (c > hi)
+    out = np.ones(len(c) + 1, bool)
+    out[1:-1] = ~(inner[1:] & inner[:-1])
+    return out
+
+
+class Items:
+    """The index of one block of items: q-grams, and whole texts of the short
+    ones. Items without a letter or digit are left out: nothing is left of
+    them in the normal form."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = ERROR_RATE):
+    def __init__(self, items: list[tuple[int | None, str]], rate: float = ERROR_RATE):
         self.ids, self.texts = [], []
         for item_id, text in items:
-            if len(text) >= MIN_CHARS:
+            if text:
                 self.ids.append(item_id)
                 self.texts.append(text)
         self.codes = [codes(t) for t in self.texts]
         length = np.array([len(t) for t in self.texts], np.int64)
         # no more edits than leave a bound of at least one shared q-gram
-        self.edits = np.minimum((length * rate).astype(np.int64), (length - Q) // Q)
+        self.edits = np.maximum(
+            np.minimum((length * rate).astype(np.int64), (length - Q) // Q), 0)
         self.bound = length - Q + 1 - self.edits * Q
-        grams = [qgram_hashes(c) for c in self.codes]
+        self.short: dict[int, dict[int, list[int]]] = {}   # by length: items of each hash
+        for i in np.flatnonzero(length < SHORT_CHARS).tolist():
+            h = int(stretch_hashes(self.codes[i], np.zeros(1, np.int64), int(length[i]))[0])
+            self.short.setdefault(int(length[i]), {}).setdefault(h, []).append(i)
+        self.short_keys = {m: np.array(sorted(v), np.uint64) for m, v in self.short.items()}
+        grams = [qgram_hashes(c if len(c) >= SHORT_CHARS else c[:0]) for c in self.codes]
         key = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams]) if grams else key
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else key
@@ -127,7 +162,22 @@ class Items:
         item = uniq >> 40
         return item, (uniq & ((1 << 40) - 1)) * (self.edits[item] + 1) - (1 << 23)
 
-    def search(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
+    def short_hits(self, c: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(item index, position) of the short items between word borders of
+        text ``c``."""
+        border = borders(c) if self.short else np.zeros(0, bool)
+        for m, by_hash in self.short.items():
+            begin = np.flatnonzero(border[:-m] & border[m:])
+            if not len(begin):
+                continue
+            keys, h = self.short_keys[m], stretch_hashes(c, begin, m)
+            known = keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h
+            for key, p in zip(h[known].tolist(), begin[known].tolist(), strict=True):
+                for i in by_hash[key]:
+                    if np.array_equal(c[p:p + m], self.codes[i]):
+                        yield i, p
+
+    def search(self, texts: list[str]) -> list[tuple[int, int | None, int, int, int]]:
         """(text number, item id, edits, start, end) of the best occurrence of
         each item in each text, where one is within its edits."""
         if not self.ids or not texts:
@@ -135,6 +185,9 @@ class Items:
         c, starts = layout(texts)
         item, diagonal = self.bands(c)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for i, p in self.short_hits(c):
+            best.setdefault((int(np.searchsorted(starts, p, "right")) - 1, i),
+                            (0, p, p + len(self.texts[i])))
         open_bands = []
         for i, d in zip(item.tolist(), diagonal.tolist(), strict=True):
             k, m = int(self.edits[i]), len(self.texts[i])
@@ -225,12 +278,13 @@ def banded_distances(items: list[np.ndarray], edits: np.ndarray, text: np.ndarra
 
 
 def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS
-                ) -> Iterator[list[tuple[int, str]]]:
+                ) -> Iterator[list[tuple[int | None, str]]]:
     """The items (item_id, normalised text) in blocks of a bounded size, read
-    one partition at a time; null, empty and repeated items are skipped."""
+    one partition at a time; null texts and repeated items are skipped, items
+    without an id are not."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                             F.col("text").cast("string").alias("text")) \
-        .filter("item_id is not null and text is not null").distinct().orderBy("item_id", "text")
+        .filter("text is not null").distinct().orderBy("item_id", "text")
     block, held = [], 0
     for r in rows.toLocalIterator():
         text = normal(r.text)
@@ -246,7 +300,7 @@ def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS
 _held: list = []   # per Python worker: the block indexed last, its rate and index
 
 
-def _index(block: list[tuple[int, str]], rate: float) -> Items:
+def _index(block: list[tuple[int | None, str]], rate: float) -> Items:
     """The index of a broadcast block, built once per worker."""
     if not _held or _held[0] is not block or _held[1] != rate:
         _held[:] = [block, rate, Items(block, rate)]
@@ -263,7 +317,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE)
     occurs in it within ``rate`` edits, the best occurrence, in positions of
     the normalised text. Documents without an occurrence, null and empty
     texts give no row; repeated rows give repeated results; ties go to the
-    first stretch; a null doc_id stays null. Other columns are not read."""
+    first stretch; a null doc_id or item_id stays null. Other columns are not
+    read."""
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, edits int, start long, end long"
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"),

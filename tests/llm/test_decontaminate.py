@@ -87,3 +87,53 @@ def test_edge_cases(spark, edges, no_docs, benchmark):
     assert dc.find_leaks(no_docs, benchmark).count() == 0
     assert dc.find_leaks(edges, odd.limit(0)).count() == 0
     assert dc.drop_leaks(edges, odd.limit(0)).count() == edges.count()
+
+
+def test_items_of_sixteen_characters_and_more_match_brute_force():
+    rng = random.Random(6)
+    items = [(n, "".join(rng.choice("abcdef ") for _ in range(n)).replace(" ", "g"))
+             for n in range(16, 32)]
+    index = dc.Items(items)
+    assert index.edits.min() == 1 and index.edits.max() == 2
+    found = 0
+    for _ in range(200):
+        n, text = rng.choice(items)
+        budget = int(index.edits[index.ids.index(n)])
+        s = list(text)
+        for _ in range(rng.randint(0, budget + 2)):
+            j, kind = rng.randrange(len(s)), rng.random()
+            if kind < 0.4:
+                s[j] = "x"
+            elif kind < 0.7:
+                s.insert(j, "x")
+            else:
+                del s[j]
+        body = dc.normal("y" * rng.randint(1, 20) + " " + "".join(s) + " tail of it")
+        want = brute(text, body)
+        got = [h for h in index.search(["zzz", body, "yyy"]) if h[1] == n]
+        assert bool(got) == (want <= budget)
+        found += bool(got)
+    assert 50 < found < 200
+
+
+def test_short_items_are_whole_words():
+    items = [(1, "what is dna"), (2, "x y 2"), (3, "question"), (4, "7"), (5, "漢字"),
+             (6, "a" * 15), (7, "")]
+    texts = ["So: What is DNA?", "what is dnase", "x + y = 2", "x + y = 21", "questions, 7",
+             "unquestion question", "这是漢字测试", "a" * 16, "a" * 15, "", "77 ab7"]
+    got = dc.Items(items).search(texts)
+    assert [(t, i) for t, i, *_ in got] == [(0, 1), (2, 2), (4, 4), (5, 3), (6, 5), (8, 6)]
+    for t, i, edits, begin, end in got:
+        assert edits == 0 and dc.normal(texts[t])[begin:end] == dict(items)[i]
+
+
+def test_short_items_and_items_without_an_id_drop_documents(spark):
+    docs = spark.createDataFrame([(1, "Tell me: 2 + 2 = 4, is it?"), (2, "all of it is new"),
+                                  (3, "who wrote the odyssey"), (None, "... who knows")],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(9, "2+2=4"), (None, "Who wrote the Odyssey?"),
+                                   (None, "who knows"), (8, "new item"), (7, None), (6, "?!")],
+                                  "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.edits) for r in dc.find_leaks(docs, items).collect()}
+    assert got == {(1, 9, 0), (3, None, 0), (None, None, 0)}
+    assert [r.doc_id for r in dc.drop_leaks(docs, items).collect()] == [2]
