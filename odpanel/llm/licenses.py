@@ -5,14 +5,23 @@ A document's passages are its whole text, its paragraphs and its lines.
 Normalised: lower case, runs of other than letters and digits one space. A
 passage of b different bigrams can reach the coefficient t with a template
 of n only if b*t/(2-t) <= n <= b*(2-t)/t; those bounds prune the templates of
-each passage, and passages no template can match. DataFrame functions only,
-row by row: nothing is shuffled and the templates are literals of the plan.
+each passage, and passages no template can match.
+
+A notice that shares its line or paragraph with other words is found in
+windows: stretches of consecutive words of the whole text, across lines, of
+the sizes that those bounds allow for the template. A window begins and ends
+with a bigram of its template, as any other end only lowers the coefficient;
+all of them are compared in the texts that hold enough of a template.
+
+DataFrame functions only, row by row: nothing is shuffled and the templates
+are literals of the plan.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,22 +86,84 @@ TEMPLATES: list[tuple[str, str]] = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
+GNU = """This {0} is free software: you can redistribute it and/or modify it under the terms of the
+    GNU {1} General Public License as published by the Free Software Foundation, either version
+    {2} of the License, or (at your option) any later version."""
+CC = "This work is licensed under a Creative Commons {} 4.0 International License."
+
+# Other common licences, and siblings of those above that would pass for them.
+TEMPLATES_MORE: list[tuple[str, str]] = [
+    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", GNU.format("program", "Affero", 3)),
+    ("Artistic-2.0", "Licensed under the Artistic License 2.0."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-ND-4.0", CC.format("Attribution-NoDerivatives")),
+    ("CC-BY-NC-4.0", CC.format("Attribution-NonCommercial")),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-ND-4.0", CC.format("Attribution-NonCommercial-NoDerivatives")),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-SA-4.0", CC.format("Attribution-NonCommercial-ShareAlike")),
+    ("CC-BY-SA-4.0", CC.format("Attribution-ShareAlike")),
+    ("CC0-1.0", "Licensed under CC0 1.0 Universal."),
+    ("CC0-1.0", """To the extent possible under law, the author(s) have dedicated all copyright and
+        related and neighboring rights to this software to the public domain worldwide. This
+        software is distributed without any warranty."""),
+    ("EPL-2.0", """This program and the accompanying materials are made available under the terms of
+        the Eclipse Public License 2.0"""),
+    ("EUPL-1.2", "Licensed under the EUPL, Version 1.2."),
+    ("GFDL-1.3", """Permission is granted to copy, distribute and/or modify this document under the
+        terms of the GNU Free Documentation License, Version 1.3"""),
+    ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", GNU.format("program", "", 2)),
+    ("GPL-3.0", "Licensed under the GNU General Public License, version 3."),
+    ("ISC", "Licensed under the ISC License."),
+    ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", GNU.format("library", "Lesser", 2.1)),
+    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", GNU.format("program", "Lesser", 3)),
+    ("LGPL-3.0", GNU.format("library", "Lesser", 3)),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
+    ("Zlib", """This software is provided 'as-is', without any express or implied warranty. In no
+        event will the authors be held liable for any damages arising from the use of this
+        software."""),
+    ("Zlib", """Permission is granted to anyone to use this software for any purpose, including
+        commercial applications, and to alter it and redistribute it freely, subject to the
+        following restrictions:"""),
+]
+ALL_TEMPLATES = TEMPLATES + TEMPLATES_MORE
+
+
+def word_pairs(text: str) -> list[str]:
+    """Word bigrams of a template, as they follow each other."""
+    words = re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
+    return [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
+
 
 def bigrams(text: str) -> list[str]:
     """Different word bigrams of a template, in order of appearance."""
-    words = re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
-    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
+    return list(dict.fromkeys(word_pairs(text)))
 
 
-def template_grams(templates: list[tuple[str, str]] = TEMPLATES
-                   ) -> list[tuple[str, list[str]]]:
-    """(licence, bigrams) with each whole licence as well: its parts joined."""
+def template_texts(templates: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The templates and each whole licence as well: its parts joined."""
     whole: dict[str, str] = {}
     for name, text in templates:
         if len(text) > 120:
             whole[name] = f"{whole.get(name, '')} {text}"
     long = [(n, t) for n, t in whole.items() if not any(t.strip() == x for _, x in templates)]
-    return [(n, bigrams(t)) for n, t in [*templates, *long]]
+    return [*templates, *long]
+
+
+def template_grams(templates: list[tuple[str, str]] = TEMPLATES
+                   ) -> list[tuple[str, list[str]]]:
+    """(licence, bigrams) of the templates and of each whole licence."""
+    return [(n, bigrams(t)) for n, t in template_texts(templates)]
 
 
 def _large_enough(b: Column, n: Column, threshold: float) -> Column:
@@ -106,6 +177,11 @@ def _small_enough(b: Column, n: Column, threshold: float) -> Column:
     return b * F.lit(threshold) <= n * F.lit(2 - threshold)
 
 
+def least_shared(n: int, threshold: float) -> int:
+    """Bigrams that any match shares with a template of n."""
+    return math.ceil(threshold * n / (2 - threshold) - 1e-9)
+
+
 def telling(grams: list[tuple[str, list[str]]], threshold: float) -> list[str]:
     """Bigrams of which every passage that reaches ``threshold`` with some
     template has one. A match shares at least threshold * n / (2 - threshold)
@@ -113,7 +189,7 @@ def telling(grams: list[tuple[str, list[str]]], threshold: float) -> list[str]:
     are taken, as the least common."""
     out: set[str] = set()
     for _, g in grams:
-        must = math.ceil(threshold * len(g) / (2 - threshold) - 1e-9)
+        must = least_shared(len(g), threshold)
         out |= set(sorted(g, key=lambda x: (-len(x), x))[:len(g) - must + 1])
     return sorted(out)
 
@@ -135,48 +211,178 @@ def passages(text: Column) -> Column:
     return F.flatten(F.transform(F.array(clean), parts))
 
 
-def license_matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
-                    threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, passage, license, dice): the passages of each document that
-    reach ``threshold`` with a template, with the best template (ties: the
-    name last in order).
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    Null, empty and one-word texts have no bigrams and no row; a passage that
-    occurs several times in a document counts once; repeated rows give
-    repeated results; a null doc_id stays null; an empty table gives an empty
-    result. Other columns are not read."""
-    grams = template_grams(templates)
-    lit = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(len(g)).alias("n"),
-                             F.array(*map(F.lit, g)).alias("grams")) for name, g in grams])
-    sizes = [len(g) for _, g in grams]
-    known = telling(grams, threshold)
-    # d different words take d - 1 different bigrams at least
-    most = max(sizes) * (2 - threshold) / threshold
-    words = F.filter(F.transform(passages(F.col("text").cast("string")),
-                                 lambda p: F.struct(p.alias("passage"),
-                                                    F.split(p, " ").alias("words"))),
-                     lambda u: F.size(F.array_distinct(u["words"])) - 1 <= most)
-    pairs = F.zip_with(F.col("unit.words"), F.slice("unit.words", 2, 1 << 30),
-                       lambda a, b: F.concat(a, F.lit(" "), b))
-    units = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                        F.explode(words).alias("unit")) \
-        .filter(F.exists(pairs, lambda x: x.isin(known))) \
+
+def pairs_of(words: Column) -> Column:
+    """The bigrams of an array of words; a null at the end."""
+    return F.zip_with(words, F.slice(words, 2, 1 << 30),
+                      lambda a, b: F.concat(a, F.lit(" "), b))
+
+
+class Templates:
+    """The templates as literals of the plan, and what prunes them."""
+
+    def __init__(self, templates: list[tuple[str, str]], threshold: float):
+        grams = template_grams(templates)
+        self.threshold = threshold
+        # the positions of a template's bigrams, repeated ones as well, bound its windows
+        most = [int(len(word_pairs(t)) * (2 - threshold) / threshold + 1e-9)
+                for _, t in template_texts(templates)]
+        self.literal = F.array(*[
+            F.struct(F.lit(name).alias("license"), F.lit(len(g)).alias("n"),
+                     F.lit(least_shared(len(g), threshold)).alias("must"),
+                     F.lit(span).alias("span"), F.array(*map(F.lit, g)).alias("grams"))
+            for (name, g), span in zip(grams, most, strict=True)])
+        self.sizes = [len(g) for _, g in grams]
+        self.known = telling(grams, threshold)
+        self.all = sorted({x for _, g in grams for x in g})
+
+    def units(self, text: Column) -> Column:
+        """(passage, words) of the passages that are not too large."""
+        # d different words take d - 1 different bigrams at least
+        most = max(self.sizes) * (2 - self.threshold) / self.threshold
+        return F.filter(F.transform(passages(text),
+                                    lambda p: F.struct(p.alias("passage"),
+                                                       F.split(p, " ").alias("words"))),
+                        lambda u: F.size(F.array_distinct(u["words"])) - 1 <= most)
+
+    def dice(self, t: Column, pairs: Column, b: Column) -> Column:
+        return F.lit(2.0) * F.size(F.array_intersect(t["grams"], pairs)) / (t["n"] + b)
+
+    def best(self, pairs: Column, b: Column) -> Column:
+        """(dice, license) of the best template for a passage, null for none."""
+        near = F.filter(self.literal, lambda t: _large_enough(b, t["n"], self.threshold)
+                        & _small_enough(b, t["n"], self.threshold))
+        scored = F.transform(near, lambda t: F.struct(
+            self.dice(t, pairs, b).alias("dice"), t["license"].alias("license")))
+        return F.array_max(F.filter(scored, lambda s: s["dice"] >= self.threshold))
+
+    def taken(self, text: Column, words: Column) -> Column:
+        """(dice, license, first, last word) wherever the words of a matching
+        passage stand."""
+        def scored(u: Column) -> Column:
+            return let(F.array_distinct(F.filter(pairs_of(u["words"]), lambda x: x.isNotNull())),
+                       lambda p: F.struct(u["words"].alias("words"),
+                                          self.best(p, F.size(p)).alias("best")))
+
+        def places(m: Column) -> Column:
+            n = F.size(m["words"])
+            at = F.filter(F.sequence(F.lit(1), F.size(words) - n + 1),
+                          lambda i: F.slice(words, i, n) == m["words"])
+            return F.transform(at, lambda i: F.struct(
+                m["best"]["dice"].alias("dice"), m["best"]["license"].alias("license"),
+                i.alias("first"), (i + n - 1).alias("last")))
+
+        hits = F.filter(self.units(text), lambda u: F.exists(pairs_of(u["words"]),
+                                                             lambda x: x.isin(self.known)))
+        return F.flatten(F.transform(
+            F.filter(F.transform(hits, scored), lambda m: m["best"].isNotNull()), places))
+
+    def windows(self, pairs: Column, hits: Column, viable: Column) -> Column:
+        """(dice, license, -first, -last word) of the best window from each
+        place where one of the ``viable`` templates can begin."""
+        def of_start(t: Column, at: Column, k: Column) -> Column:
+            s = F.element_at(at, k)
+            ends = F.filter(F.slice(at, k + t["must"] - 1, t["span"]),
+                            lambda e: e - s < t["span"])
+            return F.array_max(F.transform(ends, lambda e: let(
+                F.array_distinct(F.slice(pairs, s, e - s + 1)),
+                lambda g: F.struct(self.dice(t, g, F.size(g)).alias("dice"),
+                                   t["license"].alias("license"), (-s).alias("first"),
+                                   (-e - 1).alias("last")))))
+
+        def of_template(t: Column) -> Column:
+            own = F.filter(hits, lambda i: F.array_contains(t["grams"], F.element_at(pairs, i)))
+            return let(own, lambda at: F.transform(
+                F.filter(F.transform(at, lambda _, k: k + 1), lambda k:
+                         (k + t["must"] - 1 <= F.size(at))
+                         & (F.get(at, k + t["must"] - 2) - F.element_at(at, k) < t["span"])),
+                lambda k: of_start(t, at, k)))
+
+        return F.filter(F.flatten(F.transform(viable, of_template)),
+                        lambda w: w["dice"] >= self.threshold)
+
+
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns through an array of one, so that they are evaluated once."""
+    own = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+    return df.select("*", own.alias("own")) \
+        .select(*df.columns, *[f"own.{n}" for n in columns])
+
+
+def license_passages(docs: DataFrame, known: Templates) -> DataFrame:
+    """The whole texts, paragraphs and lines that match."""
+    sizes, threshold = known.sizes, known.threshold
+    pairs = pairs_of(F.col("unit.words"))
+    units = docs.select("doc_id", F.explode(known.units(F.col("text"))).alias("unit")) \
+        .filter(F.exists(pairs, lambda x: x.isin(known.known))) \
         .select("doc_id", "unit.passage", F.explode(F.array(F.struct(F.array_distinct(
             F.filter(pairs, lambda x: x.isNotNull())).alias("pairs")))).alias("own")) \
         .select("doc_id", "passage", "own.pairs", F.size("own.pairs").alias("b")) \
         .filter(_large_enough(F.col("b"), F.lit(min(sizes)), threshold)
                 & _small_enough(F.col("b"), F.lit(max(sizes)), threshold))
-    near = F.filter(lit, lambda t: _large_enough(F.col("b"), t["n"], threshold)
-                    & _small_enough(F.col("b"), t["n"], threshold))
-    scored = F.transform(near, lambda t: F.struct(
-        (F.lit(2.0) * F.size(F.array_intersect(t["grams"], F.col("pairs")))
-         / (t["n"] + F.col("b"))).alias("dice"), t["license"].alias("license")))
-    best = F.array_max(F.filter(scored, lambda s: s["dice"] >= threshold))
-    return units.withColumn("best", best).filter("best is not null") \
+    return units.withColumn("best", known.best(F.col("pairs"), F.col("b"))) \
+        .filter("best is not null") \
         .select("doc_id", "passage", F.col("best.license").alias("license"),
                 F.round("best.dice", 6).alias("dice"))
 
 
+def license_windows(docs: DataFrame, known: Templates) -> DataFrame:
+    """The windows that match and are not told by a matching passage: one of
+    the same licence, or of as high a coefficient, that shares words with
+    them. Of windows that share words the best is taken (ties: the name last
+    in order, then the first)."""
+    other = "[^\\p{L}\\p{N}]*"
+    clean = F.trim(F.regexp_replace(
+        F.lower("text"), f" ?[^\\p{{L}}\\p{{N}} ]{other}| {{2,}}{other}", " "))
+    words, pairs, hits = F.col("words"), F.col("pairs"), F.col("hits")
+    held = _once(docs, words=F.split(clean, " ")) \
+        .filter(F.exists(pairs_of(words), lambda x: x.isin(known.known)))
+    held = _once(held, pairs=pairs_of(words))
+    held = _once(held, hits=F.filter(F.sequence(F.lit(1), F.size(pairs) - 1),
+                                     lambda i: F.element_at(pairs, i).isin(known.all)))
+    held = _once(held, hit_pairs=F.array_distinct(F.transform(
+        hits, lambda i: F.element_at(pairs, i))))
+    held = _once(held, viable=F.filter(known.literal, lambda t: F.size(
+        F.array_intersect(t["grams"], F.col("hit_pairs"))) >= t["must"])) \
+        .filter(F.size("viable") > 0)
+    held = _once(held, found=known.windows(pairs, hits, F.col("viable"))) \
+        .filter(F.size("found") > 0)
+    held = _once(held, taken=known.taken(F.col("text"), words))
+    free = F.filter("found", lambda w: ~F.exists(
+        F.col("taken"), lambda m: (m["first"] <= -w["last"]) & (m["last"] >= -w["first"])
+        & ((m["license"] == w["license"]) | (m["dice"] >= w["dice"]))))
+    held = _once(held, ranked=F.sort_array(free, asc=False)).filter(F.size("ranked") > 0)
+    best = F.aggregate("ranked", F.slice("ranked", 1, 0), lambda got, w: F.when(
+        F.exists(got, lambda g: (g["first"] >= w["last"]) & (g["last"] <= w["first"])), got)
+        .otherwise(F.concat(got, F.array(w))))
+    rows = F.array_distinct(F.transform(best, lambda w: F.struct(
+        F.array_join(F.slice(words, -w["first"], w["first"] - w["last"] + 1), " ")
+        .alias("passage"), w["license"].alias("license"),
+        F.round(w["dice"], 6).alias("dice"))))
+    return held.select("doc_id", F.explode(rows).alias("row")) \
+        .select("doc_id", "row.passage", "row.license", "row.dice")
+
+
+def license_matches(docs: DataFrame, templates: list[tuple[str, str]] = ALL_TEMPLATES,
+                    threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, passage, license, dice): the passages of each document that
+    reach ``threshold`` with a template, with the best template (ties: the
+    name last in order), and the windows that do where no passage tells it.
+
+    Null, empty and one-word texts have no bigrams and no row; a passage that
+    occurs several times in a document counts once; repeated rows give
+    repeated results; a null doc_id stays null; an empty table gives an empty
+    result. Other columns are not read."""
+    known = Templates(templates, threshold)
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                      F.col("text").cast("string").alias("text"))
+    return license_passages(src, known).unionByName(license_windows(src, known))
+
+
 def oracle(threshold: float = THRESHOLD) -> str:
     """DuckDB SQL for ``license_matches`` over documents."""
     rows = ", ".join("({}, {}, '{}', [{}])".format(

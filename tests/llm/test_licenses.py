@@ -52,3 +52,70 @@ def test_edge_cases(edges, no_docs):
     got = licenses.license_matches(edges).collect()
     assert [(r.doc_id, r.license, r.dice) for r in got] == [(550, "MIT", 1.0)]
     assert licenses.license_matches(no_docs).count() == 0
+
+
+def brute_windows(text, threshold=licenses.THRESHOLD):
+    """Every window of every template, compared with sets."""
+    words = re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
+    texts = licenses.template_texts(licenses.ALL_TEMPLATES)
+    taken, found = [], []
+    lines = re.sub(r"[^a-z0-9\n]+", " ", text.lower())
+    for u in {" ".join(x.split()) for x in [lines, *re.split(r"\n ?\n", lines),
+                                            *lines.split("\n")]}:
+        own, w = set(licenses.word_pairs(u)), u.split()
+        best = max(((2 * len(own & set(licenses.bigrams(t))) / (len(own) + len(
+            licenses.bigrams(t))), n) for n, t in texts if own), default=(0, ""))
+        if best[0] >= threshold:
+            taken += [(*best, i, i + len(w) - 1) for i in range(len(words))
+                      if words[i:i + len(w)] == w]
+    for name, t in texts:
+        g = set(licenses.bigrams(t))
+        most = int(len(licenses.word_pairs(t)) * (2 - threshold) / threshold + 1e-9)
+        for s in [i for i, x in enumerate(pairs) if x in g]:
+            ends = [e for e in range(s, min(len(pairs), s + most)) if pairs[e] in g]
+            own = [set(pairs[s:e + 1]) for e in ends]
+            found.append(max((2 * len(o & g) / (len(o) + len(g)), name, -s, -e - 1)
+                             for o, e in zip(own, ends, strict=True)))
+    kept = []
+    for d, name, s, e in sorted((x for x in found if x[0] >= threshold), reverse=True):
+        told = any(a <= -e and -s <= b and (n == name or c >= d) for c, n, a, b in taken)
+        if not told and all(-e < a or b < -s for *_, a, b in kept):
+            kept.append((name, round(d, 6), -s, -e))
+    return {(" ".join(words[a:b + 1]), n, d) for n, d, a, b in kept}
+
+
+def test_notices_that_share_their_line_or_paragraph(spark):
+    apache = licenses.TEMPLATES[1][1]
+    code = "\nimport os\n" + "\n".join(f"value{i} = read(name{i}, of the {i})" for i in range(60))
+    want = {
+        "Copyright 2020 Foo. Released under the MIT License.": ["MIT"],
+        "(c) 2020 Foo. Licensed under CC BY 4.0. Contact us": ["CC-BY-4.0"],
+        "# " + re.sub(r"\s*\n\s*", "\n# ", apache) + code: ["Apache-2.0"],
+        "Foo 1. " + licenses.GNU.format("library", "Lesser", 2.1) + code: ["LGPL-2.1"],
+        "Bar is free. " + licenses.TEMPLATES_MORE[-2][1] + code: ["Zlib"],
+        "A b c. Licensed under CC BY 4.0. Some other words. It is released under the MIT "
+        "license. And again, released under MIT license, as was said": ["CC-BY-4.0", "MIT"],
+        "intro\nReleased under the MIT License.\nno more of it at all here": [],
+        "none of the words of a license to be found in the text": [],
+    }
+    df = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    known = licenses.Templates(licenses.ALL_TEMPLATES, licenses.THRESHOLD)
+    got: dict[int, set] = {}
+    for r in licenses.license_windows(df, known).collect():
+        got.setdefault(r.doc_id, set()).add((r.passage, r.license, r.dice))
+    for i, (text, names) in enumerate(want.items()):
+        assert got.get(i, set()) == brute_windows(text), text
+        assert sorted({n for _, n, _ in got.get(i, set())}) == names, text
+    matches = {r.doc_id for r in licenses.license_matches(df).collect()}
+    assert matches == set(range(7))
+
+
+def test_siblings_are_told_apart(spark):
+    texts = licenses.TEMPLATES_MORE
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)],
+                               "doc_id long, text string")
+    best: dict[int, tuple] = {}
+    for r in licenses.license_matches(df).collect():
+        best[r.doc_id] = max(best.get(r.doc_id, (0, "")), (r.dice, r.license))
+    assert best == {i: (1.0, n) for i, (n, _) in enumerate(texts)}
