@@ -15,8 +15,11 @@ from odpanel.llm import (
     packing,
     repetition,
     simhash,
+    spelling,
     token_orc,
+    url_rules,
     warc_zstd,
+    whitening,
 )
 
 
@@ -71,11 +74,25 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zstd.archive_pages(_table(spark, sf_dir, "pages"))
 
 
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and labels share their ids: a page is bad if its label is."""
+    return url_rules.filter_urls(_table(spark, sf_dir, "pages"),
+                                 url_rules.page_labels(_table(spark, sf_dir, "labels")))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_repetition, op2_pack_shards, op3_decontaminate, op4_language_id,
         op5_license_scan, op6_mix_sources, op7_simhash, op8_token_orc, op9_chunk_dedup,
-        op10_warc_zstd)
+        op10_warc_zstd, op11_url_rules, op12_whitening, op13_spelling)
 }
 
 WORDS = "'[^\\x20\\x09-\\x0D]+'"
@@ -178,4 +195,5 @@ ORACLE: dict[str, str] = {
     "op5_license_scan": licenses.oracle(),
     "op6_mix_sources": _mixing_oracle(),
     "op10_warc_zstd": _warc_oracle(),
+    "op11_url_rules": url_rules.oracle(),
 }
