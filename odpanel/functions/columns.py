@@ -37,17 +37,31 @@ def safe_div(num, den, positive_only: bool = False) -> Column:
 
 
 MEAN_TYPE = "decimal(25,8)"
+WEIGHT_TYPE = "decimal(10,0)"
 
 
 def exact_mean(value, weight=None) -> Column:
-    """Mean of a double column from the exact sum of its values at eight
-    decimals, so that it does not hang on the order of summation; with
-    ``weight``, each value counts so many times."""
-    v = _c(value).try_cast(MEAN_TYPE)
+    """Mean of a double column; with ``weight``, each value counts so many
+    times.
+
+    Where every value is a decimal of at most 17 digits before and 8 after the
+    point (and every weight below 1e10), the mean is taken from their exact
+    sum, so that it does not hang on the order of summation. Where any is not
+    - beyond that range, finer, NaN or infinite - it is the plain mean of the
+    doubles, in which each value counts as it is. NULL values are left out."""
+    v = _c(value).cast("double")
+    d = v.try_cast(MEAN_TYPE)
+    fits = F.coalesce(d.cast("double") == v, F.lit(False))
     if weight is None:
-        return F.try_divide(F.sum(v).cast("double"), F.count(v))
-    n = F.when(v.isNotNull(), _c(weight))
-    return F.try_divide(F.sum(v * n.cast("decimal(10,0)")).cast("double"), F.sum(n))
+        total, n, plain = F.try_sum(d), F.count(v), F.avg(v)
+    else:
+        w = F.when(v.isNotNull(), _c(weight))
+        part = w.try_cast(WEIGHT_TYPE)
+        fits = fits & (part.isNotNull() | w.isNull())
+        total, n = F.try_sum(d * part), F.sum(w)
+        plain = F.try_divide(F.sum(v * w), n.cast("double"))
+    whole = F.count_if(v.isNotNull() & ~fits) == 0
+    return F.coalesce(F.when(whole, F.try_divide(total.cast("double"), n)), plain)
 
 
 def null_strict_sum(cols) -> Column:

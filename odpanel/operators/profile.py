@@ -160,7 +160,7 @@ def describe_column(df: DataFrame, col: str, accuracy: int = 10000) -> DataFrame
     counts = df.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     mode = counts.select(F.min_by("v", F.struct(-F.col("n"), F.col("v").isNull(),
                                                F.col("v"))).cast("double")).scalar()
-    return df.agg(F.avg(col).alias("mean"),
+    return df.agg(exact_mean(col).alias("mean"),
                   F.percentile_approx(col, 0.5, accuracy).cast("double").alias("median")
                   ).select("mean", "median", mode.alias("mode"))
 
