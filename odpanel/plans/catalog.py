@@ -17,7 +17,7 @@ from odpanel.operators import cleaning, flows, index, normalize
 from odpanel.plans import ranking
 from odpanel.sources import panels
 from odpanel.operators import grid as G
-from odpanel.operators import profile, quality
+from odpanel.operators import frequent, profile, quality, scan, sketches
 from odpanel.operators.records import extract_records, record_quality
 from odpanel.schemas import CORRIDORS
 from odpanel.session import shared_dir
@@ -500,3 +500,110 @@ def q_block_extract(spark, d):
     return G.block_table(cells, blocks, GS.BLOCK_OFFSETS,
                          {c: k for k, c in left.items()}, {c: k for k, c in right.items()},
                          metrics)
+
+
+# ---- scans and summaries that no single key or value count bounds -------------------
+@query("carry_forward")
+def q_carry_forward(spark, d):
+    """For each event the value of its user's last purchase so far, by a
+    two-level scan."""
+    ev = read_table(spark, d.sf_dir, "events", ["event_id", "user_id", "ts", "event_type",
+                                                "value"])
+    bought = F.when(F.col("event_type") == "purchase", F.col("value"))
+    return scan.carry_forward(
+        ev.select("event_id", "user_id", "ts", bought.alias("last_purchase")),
+        ["user_id"], ["ts", "event_id"], "last_purchase").select(
+            "event_id", "user_id", "last_purchase")
+
+
+_FREQUENT = [("lineitem", "l_partkey"), ("lineitem", "l_suppkey"), ("events", "user_id")]
+
+
+@query("heavy_hitters")
+def q_heavy_hitters(spark, d):
+    """The 20 most frequent values of three columns with exact counts, from
+    Misra-Gries summaries."""
+    return profile.union_all(
+        frequent.placed(frequent.top_values(read_table(spark, d.sf_dir, t, [c]), c, 20), c)
+        for t, c in _FREQUENT)
+
+
+@query("column_modes")
+def q_column_modes(spark, d):
+    """The mode of each of those columns, by the same summaries."""
+    return profile.union_all(
+        frequent.placed(frequent.mode(read_table(spark, d.sf_dir, t, [c]), c), c).drop("place")
+        for t, c in _FREQUENT)
+
+
+_PS = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+@query("quantile_sketches")
+def q_quantile_sketches(spark, d):
+    """Prices sketched by ship year, the sketches stored and merged over each
+    year and over all: is every quantile's exact rank within the bound?"""
+    li = read_table(spark, d.sf_dir, "lineitem", ["l_shipdate", "l_extendedprice"]).select(
+        F.year("l_shipdate").alias("year"), F.col("l_extendedprice").alias("v"))
+    stored = sketches.quantile_sketches(li, ["year"], "v")
+    spans = stored.select("year", F.explode(F.array(
+        F.struct(F.col("year").alias("first_year"), F.col("year").alias("last_year")),
+        F.struct(F.lit(0).alias("first_year"), F.lit(9999).alias("last_year")))).alias("s")
+    ).select("year", "s.*")
+    quantiles = sketches.merged_quantiles(
+        stored.join(spans, "year"), _PS, ["first_year", "last_year"])
+    # the exact rank of each quantile among the rows of its span
+    asked = spans.join(quantiles, ["first_year", "last_year"])
+    ranks = li.join(asked, "year").groupBy("first_year", "last_year", "p", "n").agg(
+        F.count_if(F.col("v") < F.col("quantile")).alias("below"),
+        F.count_if(F.col("v") <= F.col("quantile")).alias("upto"),
+        F.count("v").alias("rows"))
+    off = F.greatest(F.col("below") / F.col("n") - F.col("p"),
+                     F.col("p") - F.col("upto") / F.col("n"))
+    return ranks.select("first_year", "last_year", "p", "n", (
+        (off <= sketches.rank_error()) & (F.col("rows") == F.col("n"))).alias("within_bound"))
+
+
+def _customer_sketches(spark, d):
+    by = read_table(spark, d.sf_dir, "orders", ["o_orderdate", "o_custkey"]).select(
+        F.year("o_orderdate").alias("year"), "o_custkey")
+    return by, sketches.distinct_sketches(by, ["year"], "o_custkey")
+
+
+@query("distinct_sketches")
+def q_distinct_sketches(spark, d):
+    """Customers by order year and in all (year NULL): exact count, and whether
+    the merged HLL and Theta estimates are within their bounds."""
+    by, stored = _customer_sketches(spark, d)
+    each = sketches.merged_distinct(stored, ["year"])
+    whole = sketches.merged_distinct(stored).withColumn("year", F.lit(None).cast("int"))
+    seen = by.distinct()
+    exact = seen.groupBy("year").agg(F.count("o_custkey").alias("n")).unionByName(
+        seen.select("o_custkey").distinct().agg(F.count("o_custkey").alias("n"))
+        .withColumn("year", F.lit(None).cast("int")))
+    got = each.unionByName(whole).withColumnRenamed("year", "y")
+    return exact.join(got, F.col("year").eqNullSafe(F.col("y"))).select(
+        "year", "n", sketches.within("n_hll", "n", sketches.hll_error()).alias("hll_ok"),
+        sketches.within("n_theta", "n", sketches.theta_error()).alias("theta_ok"))
+
+
+@query("distinct_overlap")
+def q_distinct_overlap(spark, d):
+    """Customers that two order years share, exactly, and whether the
+    intersection and union of the stored Theta sketches are within bounds."""
+    by, stored = _customer_sketches(spark, d)
+    years = by.distinct().groupBy("o_custkey").agg(F.sort_array(F.collect_set("year")).alias("g"))
+    pairs = (years.select("g", F.explode("g").alias("a"))
+             .select("a", F.explode(F.filter("g", lambda x: x > F.col("a"))).alias("b"))
+             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_shared")))
+    size = by.distinct().groupBy("year").agg(F.count(F.lit(1)).alias("size"))
+    either = (sketches.overlaps(stored, "year").join(pairs, ["a", "b"], "left")
+              .join(size.select(F.col("year").alias("a"), F.col("size").alias("n_a")), "a")
+              .join(size.select(F.col("year").alias("b"), F.col("size").alias("n_b")), "b")
+              .fillna(0, ["n_shared"])
+              .withColumn("n_all", F.col("n_a") + F.col("n_b") - F.col("n_shared")))
+    off = F.abs(F.col("n_both") - F.col("n_shared")) <= (
+        F.lit(sketches.theta_error()) * F.col("n_all") + 0.5)
+    return either.select(
+        "a", "b", "n_shared", "n_all", off.alias("both_ok"),
+        sketches.within("n_either", "n_all", sketches.theta_error()).alias("either_ok"))

@@ -104,8 +104,8 @@ def _ndist(c):
 
 
 def _mean(c):
-    """Exact at eight decimals, so that no order of summation shows."""
-    return f"CAST(sum(CAST({c} AS DECIMAL(38, 8))) AS DOUBLE) / count({c})"
+    """The mean of the doubles, summed with compensation."""
+    return f"favg({c})"
 
 
 def _num(c, kind, fn):
@@ -278,3 +278,36 @@ ORACLE["describe_table"] = f"""
                           WHEN 'DOUBLE' THEN 'double' ELSE lower(column_type) END AS data_type,
          CAST(NULL AS VARCHAR) AS comment
   FROM (DESCRIBE ({sql("SELECT * FROM corridors")}))"""
+
+# ---- scans and summaries ------------------------------------------------------------
+ORACLE["carry_forward"] = """
+  SELECT event_id, user_id, round(last_value(CASE WHEN event_type = 'purchase' THEN value END
+           IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                               ROWS UNBOUNDED PRECEDING), 6) AS last_purchase FROM events"""
+_FREQUENT = [("lineitem", "l_partkey"), ("lineitem", "l_suppkey"), ("events", "user_id")]
+_PLACED = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) AS INTEGER)"
+    f" AS place, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM {t} GROUP BY {c}"
+    for t, c in _FREQUENT)
+ORACLE["heavy_hitters"] = f"SELECT * FROM ({_PLACED}) WHERE place <= 20"
+ORACLE["column_modes"] = f"SELECT column_name, value, n FROM ({_PLACED}) WHERE place = 1"
+ORACLE["quantile_sketches"] = """
+  SELECT s.first_year, s.last_year, p.p, count(*) AS n, true AS within_bound
+  FROM lineitem JOIN (
+    SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS first_year,
+           CAST(year(l_shipdate) AS INTEGER) AS last_year FROM lineitem
+    UNION ALL SELECT 0, 9999) s ON year(l_shipdate) BETWEEN s.first_year AND s.last_year,
+    (SELECT unnest([0.01, 0.25, 0.5, 0.75, 0.99])::DOUBLE AS p) p
+  GROUP BY ALL"""
+ORACLE["distinct_sketches"] = """
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(DISTINCT o_custkey) AS n,
+         true AS hll_ok, true AS theta_ok FROM orders GROUP BY ALL
+  UNION ALL SELECT NULL, count(DISTINCT o_custkey), true, true FROM orders"""
+ORACLE["distinct_overlap"] = """
+  WITH c AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y, o_custkey FROM orders),
+  y AS (SELECT y, count(*) AS size FROM c GROUP BY y)
+  SELECT a.y AS a, b.y AS b, coalesce(s.n, 0) AS n_shared,
+         a.size + b.size - coalesce(s.n, 0) AS n_all, true AS both_ok, true AS either_ok
+  FROM y a JOIN y b ON a.y < b.y
+  LEFT JOIN (SELECT p.y AS a, q.y AS b, count(*) AS n FROM c p JOIN c q USING (o_custkey)
+             WHERE p.y < q.y GROUP BY ALL) s ON s.a = a.y AND s.b = b.y"""
