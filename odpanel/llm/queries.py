@@ -181,12 +181,12 @@ def _mixing_oracle() -> str:
 def _warc_oracle() -> str:
     return f"""
     WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
-        sha256(coalesce(html, '')) AS payload_digest FROM pages WHERE page_id IS NOT NULL),
+        sha256(coalesce(html, '')) AS payload_digest FROM pages),
     f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
     SELECT page_id, payload_bytes, payload_digest,
-      CASE WHEN payload_bytes >= {warc_zstd.MIN_REVISIT} AND first <> page_id
-        THEN 'revisit' ELSE 'response' END AS record_type,
-      CASE WHEN payload_bytes >= {warc_zstd.MIN_REVISIT} AND first <> page_id
+      CASE WHEN payload_bytes >= {warc_zstd.MIN_REVISIT} AND first IS DISTINCT FROM page_id
+        AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN payload_bytes >= {warc_zstd.MIN_REVISIT} AND first IS DISTINCT FROM page_id
         THEN first END AS refers_to FROM f"""
 
 

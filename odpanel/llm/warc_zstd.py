@@ -7,7 +7,8 @@ records can be read one by one from their offset.
 
 Of records with equal payloads of at least ``MIN_REVISIT`` bytes the one with
 the smallest page_id is a `response`; the others are `revisit` records that
-name it and carry no payload. Archives are written by the tasks through
+name it and carry no payload. A page without id is archived under the name
+``none``. Archives are written by the tasks through
 ``pyarrow.fs`` under the shared folder, to a name of the attempt first and
 then renamed; a task that runs again writes the same bytes.
 """
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odpanel.llm.common import byte_slices, stored
+from odpanel.operators.flows import salts_of
 from odpanel.session import shared_dir
 
 MIN_REVISIT = 100
@@ -34,6 +36,8 @@ DICT_BYTES = 64 << 10
 SAMPLE_RECORDS = 500         # about so many records train the dictionary, chosen by hash
 SAMPLE_MAX_BYTES = 32 << 10  # larger payloads are not sampled (they are archived)
 LEVEL = 5
+HOT_COPIES = 10_000          # fewer copies of a payload are no hot group
+HOT_PAYLOADS = 1000          # payloads that are dealt out as hot, at most
 READ_BYTES = 1 << 20
 # Fixed values of the formats
 DICT_MAGIC = 0x184D2A5D
@@ -50,14 +54,14 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
 
 
-def record(page_id: int, url: str | None, payload: bytes, digest: str,
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str,
            refers_to: int | None) -> bytes:
     """One WARC/1.1 record; ``refers_to`` makes it a revisit."""
     http = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
             f"Content-Length: {len(payload)}\r\n\r\n").encode()
     block = http if refers_to is not None else http + payload
     head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-            f"WARC-Record-ID: <urn:page:{page_id}>", f"WARC-Date: {DATE}"]
+            f"WARC-Record-ID: <urn:page:{'none' if page_id is None else page_id}>", f"WARC-Date: {DATE}"]
     if url:
         head.append("WARC-Target-URI: " + "".join(c if c > " " else "%20" for c in url))
     head.append(f"WARC-Payload-Digest: sha256:{digest}")
@@ -89,7 +93,8 @@ def parse(raw: bytes) -> dict:
         raise ValueError(f"payload of {fields['WARC-Record-ID']} does not match its digest")
 
     def page(urn: str | None) -> int | None:
-        return int(urn.removeprefix("<urn:page:").removesuffix(">")) if urn else None
+        name = (urn or "<urn:page:none>").removeprefix("<urn:page:").removesuffix(">")
+        return None if name == "none" else int(name)
 
     return {"page_id": page(fields["WARC-Record-ID"]), "payload_bytes": length,
             "payload_digest": digest, "record_type": kind,
@@ -168,28 +173,41 @@ def read_record(path: str, offset: int, length: int) -> bytes:
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Archive (page_id, url, html) and return the stored index (file,
-    offset, length, page_id). Rows without page_id are left out; a null html
-    is the empty payload; rows that repeat a page_id and payload are each
-    archived alike."""
+    offset, length, page_id). A null html is the empty payload. A row without
+    page_id is a response unless a page with an id has its payload; rows that
+    repeat a page_id and payload are each archived alike."""
     spark = pages.sparkSession
     src = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-        F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("html")) \
-        .filter("page_id is not null")
+        F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("html"))
     # by a hash threshold, so that tasks send the sample alone to the driver;
-    # the limit only guards against one page_id repeated many times
-    share = min(1.0, SAMPLE_RECORDS / max(1, src.count()))
-    place = F.shiftrightunsigned(F.xxhash64("page_id"), 11) / F.lit(float(1 << 53))
+    # the limit only guards against one page repeated many times
+    part = min(1.0, SAMPLE_RECORDS / max(1, src.count()))
+    place = F.shiftrightunsigned(F.xxhash64("page_id", "url"), 11) / F.lit(float(1 << 53))
     sample = src.filter(F.octet_length("html").between(64, SAMPLE_MAX_BYTES)) \
-        .filter(place < share).limit(2 * SAMPLE_RECORDS).collect()
+        .filter(place < part).limit(2 * SAMPLE_RECORDS).collect()
     dictionary = train_dictionary(sorted(
         record(r.page_id, r.url, bytes(r.html), hashlib.sha256(r.html).hexdigest(), None)
         for r in sample))
     digested = src.withColumn("digest", F.sha2("html", 256))
-    first = digested.groupBy("digest").agg(F.min("page_id").alias("first"))
-    refers = F.when((F.octet_length("html") >= MIN_REVISIT) & (F.col("first") != F.col("page_id")),
-                    F.col("first"))
-    rows = digested.join(first, "digest").withColumn("refers_to", refers).drop("first") \
+    long = F.octet_length("html") >= MIN_REVISIT
+    seen = stored(spark, digested.filter(long).groupBy("digest").agg(
+        F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+        .filter("copies > 1"), "warc-copies")
+    # the copies of a frequent payload are dealt to several tasks; there are
+    # at most HOT_PAYLOADS of those, whatever the pages
+    share = (seen.agg(F.sum("copies")).first()[0] or 0) / HOT_PAYLOADS
+    hot = [r.digest for r in seen.filter(F.col("copies") > max(HOT_COPIES, share))
+           .select("digest").collect()]
+    salts = salts_of(spark)
+    is_hot = F.col("digest").isin(hot) if hot else F.lit(False)
+    first = seen.select("digest", "first", F.explode(F.when(
+        is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
+    salt = F.when(is_hot, F.pmod(F.xxhash64("page_id", "url", F.spark_partition_id()),
+                                 F.lit(salts))).otherwise(0).cast("int")
+    refers = F.when(long & ~F.col("first").eqNullSafe(F.col("page_id")), F.col("first"))
+    rows = digested.withColumn("salt", salt).join(first, ["digest", "salt"], "left") \
+        .withColumn("refers_to", refers).drop("first", "salt") \
         .sortWithinPartitions("page_id", "digest")
     columns = rows.columns
 
