@@ -4,8 +4,8 @@ A text is the mean of the embeddings of its character n-grams (2 to 4,
 inside words, word ends marked), hashed to ``BUCKETS`` rows; a linear layer
 and a softmax give the languages. Embeddings and layer are trained by
 mini-batch stochastic gradient descent in numpy on snippets of a bounded
-sample of labelled rows: ``per_lang`` documents of each language, chosen by
-hash. The sampled documents left out of training set a temperature and the
+sample of labelled rows: ``per_lang`` documents of each of at most
+``MAX_LANGS`` languages, chosen by hash. The sampled documents left out of training set a temperature and the
 rejection threshold.
 
 The mean and the layer are linear, so prediction uses the product of the two
@@ -14,12 +14,12 @@ tables: one row of logits per n-gram, averaged over the whole text.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,6 +30,7 @@ BUCKETS = 1 << 16
 ORDERS = (2, 3, 4)
 DIM = 16
 PER_LANG = 250     # labelled documents of each language in the sample
+MAX_LANGS = 200    # languages that are learned, at most: those of the most labelled rows
 SNIPPETS = 24      # at most so many training snippets of a document, evenly spaced
 SNIPPET_WORDS = 24
 EPOCHS = 5
@@ -39,7 +40,7 @@ UNKNOWN = "und"
 REJECT_SHARE = 0.002   # of clean calibration documents that may be rejected
 MAX_THRESHOLD = 0.5
 RUN_CHARS = 1 << 16
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")   # letters alone, no other number signs
 
 
 @dataclass
@@ -207,9 +208,11 @@ def held_out(doc_id) -> F.Column:
 
 def sample(docs: DataFrame, per_lang: int = PER_LANG) -> list[tuple[int, str, str]]:
     """The training sample: of each language the ``per_lang`` (1000 at most)
-    labelled documents outside the held-out fold that come first in hash
-    order. Spark keeps ``per_lang`` rows per language and task before the
-    shuffle, so a hot language costs no more than others."""
+    different labelled rows (doc_id, text) outside the held-out fold that come
+    first in hash order; of more than ``MAX_LANGS`` languages, those of the
+    most labelled rows (ties by name). So at most ``per_lang * MAX_LANGS``
+    rows reach the driver. Spark keeps ``per_lang`` ranks per language and
+    task before the shuffle, so a hot language costs no more than others."""
     if not 0 < per_lang <= 1000:
         raise ValueError("per_lang must be in 1..1000")
     labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -217,13 +220,18 @@ def sample(docs: DataFrame, per_lang: int = PER_LANG) -> list[tuple[int, str, st
                            F.col("lang").cast("string").alias("lang")) \
         .filter("doc_id is not null and text is not null and lang is not null") \
         .filter(~held_out(F.col("doc_id")))
-    ids = labelled.select("doc_id", "lang")
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = ids.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= per_lang) \
-        .select("doc_id").distinct()
-    # at most per_lang ids of each language, as many as the sample collected here;
-    # the tasks cut the texts to their training snippets, so its bytes are bounded too
-    chosen_rows = labelled.join(F.broadcast(chosen), "doc_id", "left_semi")
+    most = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")) \
+        .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
+    labelled = labelled.filter(F.col("lang").isin([r.lang for r in most])) \
+        .withColumn("text_hash", F.xxhash64("text"))
+    ids = labelled.select("doc_id", "lang", "text_hash")
+    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text_hash")
+    chosen = ids.withColumn("rank", F.dense_rank().over(w)).filter(F.col("rank") <= per_lang) \
+        .select("doc_id", "lang", "text_hash").distinct()
+    # at most per_lang rows of each language; the tasks cut the texts to their
+    # training snippets and repeated rows fall together, so the bytes are bounded too
+    chosen_rows = labelled.join(F.broadcast(chosen), ["doc_id", "lang", "text_hash"],
+                                "left_semi").select("doc_id", "text", "lang")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,7 +242,8 @@ def sample(docs: DataFrame, per_lang: int = PER_LANG) -> list[tuple[int, str, st
                     [rows.column(0), pa.array(short, pa.string()), rows.column(2)],
                     ["doc_id", "text", "lang"])
 
-    rows = chosen_rows.mapInArrow(cut, "doc_id long, text string, lang string").collect()
+    rows = chosen_rows.mapInArrow(cut, "doc_id long, text string, lang string") \
+        .distinct().collect()
     return sorted((r.doc_id, r.text, r.lang) for r in rows)
 
 

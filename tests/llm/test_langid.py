@@ -81,3 +81,61 @@ def test_edge_cases(spark, edges, no_docs):
     none = langid.identify(spark.createDataFrame([(1, "abc", None)],
                                                  "doc_id long, text string, lang string")).first()
     assert none.lang_pred == "und" and none.rejected
+
+
+def test_number_signs_are_no_letters(spark, docs):
+    model = langid.train(langid.sample(docs))
+    df = spark.createDataFrame([(1, "² ½ ①"), (2, "Ⅷ ⅷ 12 _"), (3, "the ² and")],
+                               "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.identify(df, model=model).collect()}
+    assert {got[i].lang_pred for i in (1, 2)} == {"und"} and got[3].lang_pred != "und"
+    assert [got[i].score for i in (1, 2)] == [0.0, 0.0] and got[1].rejected
+
+
+def test_the_sample_is_bounded_in_rows(spark, monkeypatch):
+    """One doc_id on 3,000 rows, and more languages than are learned."""
+    one = spark.createDataFrame([(2, f"text number {'abcdefghij'[i % 10]} {i}", "en")
+                                 for i in range(3000)], "doc_id long, text string, lang string")
+    assert 0 < len(langid.sample(one, 20)) <= 20
+    same = spark.createDataFrame([(2, "text", "en")] * 3000,
+                                 "doc_id long, text string, lang string")
+    assert len(langid.sample(same, 20)) == 1
+    monkeypatch.setattr(langid, "MAX_LANGS", 5)
+    many = spark.createDataFrame([(i, "text", f"l{i % 300:03d}") for i in range(3000)],
+                                 "doc_id long, text string, lang string")
+    got = langid.sample(many, 4)
+    assert len({r[2] for r in got}) == 5 and len(got) <= 20
+
+
+def test_predictions_against_a_plain_loop(docs):
+    """Each n-gram by itself over the same model, in plain Python."""
+    model = langid.train(langid.sample(docs))
+
+    def bucket(gram):
+        h = (ord(gram[0]) + 1) & 0xFFFFFFFF
+        for c in gram[1:]:
+            h = (h * 0x01000193 & 0xFFFFFFFF) ^ (ord(c) + 1)
+        return ((h + len(gram)) * 0x9E3779B1 & 0xFFFFFFFF) >> 16
+
+    def plain(text):
+        words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        total, n = np.zeros(len(model.langs)), 0
+        for w in words:
+            marked = f" {w} "
+            for k in langid.ORDERS:
+                for i in range(len(marked) - k + 1):
+                    total += model.logits[bucket(marked[i:i + k])]
+                    n += 1
+        if not words:
+            return "und", 0.0
+        z = (total / max(n, 1) + model.bias) / model.temperature
+        p = np.exp(z - z.max())
+        p /= p.sum()
+        return model.langs[int(p.argmax())], float(p.max())
+
+    rows = docs.collect()
+    got = {r.doc_id: r for r in langid.identify(docs, model=model).collect()}
+    for r in rows:
+        lang, score = plain(r.text or "")
+        assert got[r.doc_id].lang_pred == lang
+        assert abs(got[r.doc_id].score - score) < 1e-5
