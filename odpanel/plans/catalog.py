@@ -17,11 +17,11 @@ from odpanel.operators import cleaning, flows, index, normalize
 from odpanel.plans import ranking
 from odpanel.sources import panels
 from odpanel.operators import grid as G
-from odpanel.operators import frequent, profile, quality, scan, sketches
+from odpanel.operators import bitmaps, frequent, profile, quality, scan, sketches
 from odpanel.operators.records import extract_records, record_quality
 from odpanel.schemas import CORRIDORS
 from odpanel.session import shared_dir
-from odpanel.sources import files, records
+from odpanel.sources import files, records, stores
 from odpanel.sources import grid as GS
 from odpanel.sources.tables import read_table
 
@@ -607,3 +607,65 @@ def q_distinct_overlap(spark, d):
     return either.select(
         "a", "b", "n_shared", "n_all", off.alias("both_ok"),
         sketches.within("n_either", "n_all", sketches.theta_error()).alias("either_ok"))
+
+
+@query("distinct_bitmaps")
+def q_distinct_bitmaps(spark, d):
+    """Exact distinct keys by ship year and in all (year NULL), from stored
+    bitmaps merged."""
+    li = read_table(spark, d.sf_dir, "lineitem", ["l_shipdate", "l_orderkey", "l_partkey",
+                                                  "l_suppkey"])
+    stored = bitmaps.value_bitmaps(li.withColumn("year", F.year("l_shipdate")),
+                                   ["l_orderkey", "l_partkey", "l_suppkey"], ["year"])
+    whole = bitmaps.distinct_counts(stored).withColumn("year", F.lit(None).cast("int"))
+    return bitmaps.distinct_counts(stored, ["year"]).unionByName(whole)
+
+
+# ---- stored tables ------------------------------------------------------------------
+@query("counted_writes")
+def q_counted_writes(spark, d):
+    """Raw and cleaned row counts of the panels, observed by the jobs that write
+    the cleaned tables."""
+    d.typed_flows = True
+    got = [(n, *stores.write_counted(d.raw(n), cleaning.CLEANERS[n],
+                                     shared_dir(spark, f"clean-{n}")).values())
+           for n in cleaning.CLEANERS]
+    return spark.createDataFrame(got, "dataset string, raw_rows long, clean_rows long")
+
+
+@query("bucketed_join")
+def q_bucketed_join(spark, d):
+    """Lineitem and orders saved bucketed and sorted by order key, joined and
+    grouped by order without an exchange, then summed by priority."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables = {}
+    for name, key, cols in (("lineitem", "l_orderkey", ["l_quantity"]),
+                            ("orders", "o_orderkey", ["o_orderpriority"])):
+        path = shared_dir(spark, f"bucketed-{name}")
+        tables[name] = path.rsplit("/", 1)[1].replace("-", "_")
+        stores.save_bucketed(read_table(spark, d.sf_dir, name, [key, *cols]), tables[name],
+                             [key], n, path)
+    per = _order_lines(spark.table(tables["lineitem"]), spark.table(tables["orders"]))
+    return per.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.sum("n_lines").alias("n_lines"),
+        F.sum("qty").alias("qty"))
+
+
+def _order_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines and quantity of each row of ``orders``, both tables bucketed by
+    order key."""
+    lines = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"),
+                                               F.sum("l_quantity").alias("qty"))
+    return orders.join(lines.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
+
+
+@query("rewritten_year")
+def q_rewritten_year(spark, d):
+    """The cleaned corridors stored by year, one year written again with its
+    values doubled: the others keep theirs."""
+    panel = clean(spark, d, "corridors")
+    path = shared_dir(spark, "by-year")
+    stores.replace_periods(panel, path, ["year"])
+    again = panel.filter(F.col("year") == 1997).withColumn("value", F.col("value") * 2)
+    stores.replace_periods(again, path, ["year"])
+    return stores.read_periods(spark, path, panel)

@@ -311,3 +311,18 @@ ORACLE["distinct_overlap"] = """
   FROM y a JOIN y b ON a.y < b.y
   LEFT JOIN (SELECT p.y AS a, q.y AS b, count(*) AS n FROM c p JOIN c q USING (o_custkey)
              WHERE p.y < q.y GROUP BY ALL) s ON s.a = a.y AND s.b = b.y"""
+ORACLE["distinct_bitmaps"] = " UNION ALL ".join(
+    f"SELECT {y} AS year, '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct FROM lineitem"
+    f"{g}" for c in ("l_orderkey", "l_partkey", "l_suppkey")
+    for y, g in (("CAST(year(l_shipdate) AS INTEGER)", " GROUP BY year(l_shipdate)"), ("NULL", "")))
+_add("counted_writes", " UNION ALL ".join(
+    f"SELECT '{n}' AS dataset, (SELECT count(*) FROM {n}_raw) AS raw_rows, "
+    f"(SELECT count(*) FROM {n}) AS clean_rows" for n in _NCOLS))
+ORACLE["bucketed_join"] = """
+  SELECT o_orderpriority, count(*) AS n_orders, CAST(sum(n_lines) AS BIGINT) AS n_lines,
+         sum(qty) AS qty
+  FROM orders JOIN (SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS qty
+                    FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey
+  GROUP BY o_orderpriority"""
+_add("rewritten_year", "SELECT * REPLACE (CASE WHEN year = 1997 THEN 2 ELSE 1 END * value AS value) "
+     "FROM corridors", ["value"])
