@@ -11,13 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from odpanel.operators import cleaning, flows, index, normalize
 from odpanel.plans import ranking
 from odpanel.sources import panels
 from odpanel.operators import grid as G
-from odpanel.operators import bitmaps, frequent, profile, quality, scan, sketches
+from odpanel.operators import (bitmaps, frequent, profile, quality, scan, sketches,
+                               variants)
 from odpanel.operators.records import extract_records, record_quality
 from odpanel.schemas import CORRIDORS
 from odpanel.session import shared_dir
@@ -669,3 +670,41 @@ def q_rewritten_year(spark, d):
     again = panel.filter(F.col("year") == 1997).withColumn("value", F.col("value") * 2)
     stores.replace_periods(again, path, ["year"])
     return stores.read_periods(spark, path, panel)
+
+
+# ---- values of any type, lines that do not fit -----------------------------------------
+@query("variant_fields")
+def q_variant_fields(spark, d):
+    """By event type: rows, bad texts, and the field k of the properties as a
+    number, from VARIANT values."""
+    ev = read_table(spark, d.sf_dir, "events", ["event_type", "props"])
+    got = variants.typed_fields(ev, "props", {"k": ("$.k", "long"), "none": ("$.x.y", "int")})
+    return got.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("bad_text").alias("n_bad"),
+        F.count("k").alias("n_k"), F.sum("k").alias("sum_k"), F.count("none").alias("n_none"))
+
+
+@query("variant_types")
+def q_variant_types(spark, d):
+    """The types that the properties and the event types (no JSON) hold."""
+    ev = read_table(spark, d.sf_dir, "events", ["event_type", "props"])
+    return profile.union_all(
+        variants.found_types(ev, c).select(F.lit(c).alias("column_name"), "*")
+        for c in ("props", "event_type"))
+
+
+@query("csv_bad_lines")
+def q_csv_bad_lines(spark, d):
+    """Customers as CSV, one folder a segment, the key replaced by the name in
+    one of them; read with an integer key, the lines that do not fit are kept
+    and counted by their file's segment."""
+    c = read_table(spark, d.sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"])
+    path = shared_dir(spark, "csv-lines")
+    key = F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_name")).otherwise(
+        F.col("c_custkey").cast("string"))
+    c.select(key.alias("key"), "c_name", "c_mktsegment").write.option("header", True) \
+        .partitionBy("c_mktsegment").csv(path)
+    schema = StructType([StructField("key", LongType()), StructField("c_name", StringType())])
+    lines = files.read_csv_checked(spark, f"{path}/*", schema)
+    segment = F.regexp_extract(F.url_decode("file"), "c_mktsegment=([^/]*)/", 1)
+    return files.line_quality(lines.withColumn("segment", segment), ["segment"])

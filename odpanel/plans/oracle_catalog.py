@@ -326,3 +326,15 @@ ORACLE["bucketed_join"] = """
   GROUP BY o_orderpriority"""
 _add("rewritten_year", "SELECT * REPLACE (CASE WHEN year = 1997 THEN 2 ELSE 1 END * value AS value) "
      "FROM corridors", ["value"])
+ORACLE["variant_fields"] = """
+  SELECT event_type, count(*) AS n_rows, 0::BIGINT AS n_bad,
+         count(json_extract(props, '$.k')) AS n_k,
+         CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k,
+         0::BIGINT AS n_none FROM events GROUP BY event_type"""
+ORACLE["variant_types"] = """
+  SELECT 'props' AS column_name, count(*) AS n_rows, 0::BIGINT AS n_null, 0::BIGINT AS n_bad,
+         'OBJECT<k: BIGINT>' AS found FROM events
+  UNION ALL SELECT 'event_type', count(*), 0, count(*), NULL FROM events"""
+ORACLE["csv_bad_lines"] = """
+  SELECT c_mktsegment AS segment, count(*) AS n_lines,
+         count_if(c_mktsegment = 'BUILDING') AS n_bad FROM customer GROUP BY c_mktsegment"""

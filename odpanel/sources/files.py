@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -30,6 +30,31 @@ def read_csv(spark: SparkSession, path, schema: StructType | None = None,
     return r.csv(path)
 
 
+BAD_LINE = "_bad_line"
+
+
+def read_csv_checked(spark: SparkSession, path, schema: StructType) -> DataFrame:
+    """Header CSV with an explicit schema that keeps what does not fit: the
+    schema's columns (NULL where a field does not parse), ``BAD_LINE`` (the
+    whole line, if any of its fields does not parse or their number is wrong,
+    else NULL) and ``file`` (its path). Every column is parsed, whichever are
+    read, so a line is bad or not for all queries alike."""
+    kept = StructType([*schema.fields, StructField(BAD_LINE, StringType())])
+    # always true; Spark rejects queries that read the bad lines and no other column
+    any_row = F.hash(*schema.names) >= F.lit(-(1 << 31))
+    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", BAD_LINE).option("columnPruning", False)
+            .schema(kept).csv(path)
+            .select(*schema.names, F.when(any_row, F.col(BAD_LINE)).alias(BAD_LINE),
+                    F.col("_metadata.file_path").alias("file")))
+
+
+def line_quality(checked: DataFrame, by=("file",)) -> DataFrame:
+    """(by, n_lines, n_bad) of a ``read_csv_checked`` frame."""
+    return checked.groupBy(*by).agg(F.count(F.lit(1)).alias("n_lines"),
+                                    F.count(BAD_LINE).alias("n_bad"))
+
+
 def write_parquet(df: DataFrame, path: str, partition_by=None) -> None:
     w = df.write.mode("overwrite")
     if partition_by:
