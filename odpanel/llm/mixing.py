@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -173,9 +174,10 @@ def rake_large(cells: DataFrame, targets: dict[str, DataFrame],
             now = now.join(scale, dim).withColumn("fitted", F.col("fitted") * F.col("__scale")) \
                 .drop("__scale")
         now = stored(spark, now, "rake")
-        off = [held(dim, now).agg(F.max(F.abs(F.col("__have") - F.col("__want")))).first()[0]
+        off = [held(dim, now).select(F.abs(F.col("__have") - F.col("__want")).alias("off"))
                for dim in targets]
-        if max((x or 0.0 for x in off), default=0.0) <= TOLERANCE:
+        worst = reduce(DataFrame.union, off).agg(F.max("off")).first()[0] if off else 0.0
+        if (worst or 0.0) <= TOLERANCE:
             break
     return now
 
@@ -194,8 +196,9 @@ def _large_targets(cells: DataFrame, stated: dict[str, dict[str, float]],
         else:
             share = share.withColumn("p", F.pow("p", F.lit(float(powers[dim]))))
         whole = share.agg(F.sum("p")).scalar()
-        out[dim] = share.select(
-            "value", F.when(whole > 0, F.col("p") / whole).otherwise(0.0).alias("share"))
+        out[dim] = stored(cells.sparkSession, share.select(
+            "value", F.when(whole > 0, F.col("p") / whole).otherwise(0.0).alias("share")),
+            "targets")
     return out
 
 
