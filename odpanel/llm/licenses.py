@@ -194,21 +194,24 @@ def telling(grams: list[tuple[str, list[str]]], threshold: float) -> list[str]:
     return sorted(out)
 
 
-def passages(text: Column) -> Column:
-    """The normalised whole text, paragraphs and lines, each once."""
+def normalised(text: Column) -> Column:
+    """The text in lower case, runs of other than letters and digits one
+    space, line breaks left."""
     # a lone space is left as it is: the pattern then skips most of a text
     other = "[^\\p{L}\\p{N}\\n]*"
-    clean = F.regexp_replace(F.lower(text),
-                             f" ?[^\\p{{L}}\\p{{N}}\\n ]{other}| {{2,}}{other}", " ")
+    return F.regexp_replace(F.lower(text),
+                            f" ?[^\\p{{L}}\\p{{N}}\\n ]{other}| {{2,}}{other}", " ")
 
-    def parts(c: Column) -> Column:
-        joined = F.transform(F.concat(F.array(c), F.split(c, "\\n ?\\n")),
-                             lambda p: F.regexp_replace(p, " ?\\n[ \\n]*", " "))
-        return F.array_distinct(F.transform(F.concat(joined, F.split(c, "\\n")),
-                                            lambda p: F.trim(p)))
 
-    # through an array of one, so that the text is cleaned once
-    return F.flatten(F.transform(F.array(clean), parts))
+def on_one_line(clean: Column) -> Column:
+    return F.regexp_replace(clean, " ?\\n[ \\n]*", " ")
+
+
+def passages(clean: Column) -> Column:
+    """The whole text, paragraphs and lines of a normalised text, each once."""
+    joined = F.transform(F.concat(F.array(clean), F.split(clean, "\\n ?\\n")), on_one_line)
+    return F.array_distinct(F.transform(F.concat(joined, F.split(clean, "\\n")),
+                                        lambda p: F.trim(p)))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -222,6 +225,12 @@ def pairs_of(words: Column) -> Column:
                       lambda a, b: F.concat(a, F.lit(" "), b))
 
 
+def put(blocks: Column, b: Column, item: Column) -> Column:
+    """``blocks``, an array of arrays, with ``item`` added to block ``b``."""
+    return F.concat(F.slice(blocks, 1, b), F.array(F.concat(F.get(blocks, b), F.array(item))),
+                    F.slice(blocks, b + 2, 1 << 30))
+
+
 class Templates:
     """The templates as literals of the plan, and what prunes them."""
 
@@ -237,14 +246,16 @@ class Templates:
                      F.lit(span).alias("span"), F.array(*map(F.lit, g)).alias("grams"))
             for (name, g), span in zip(grams, most, strict=True)])
         self.sizes = [len(g) for _, g in grams]
+        # no window has more words than a block, so it meets two blocks at most
+        self.block = max(most) + 1
         self.known = telling(grams, threshold)
         self.all = sorted({x for _, g in grams for x in g})
 
-    def units(self, text: Column) -> Column:
+    def units(self, clean: Column) -> Column:
         """(passage, words) of the passages that are not too large."""
         # d different words take d - 1 different bigrams at least
         most = max(self.sizes) * (2 - self.threshold) / self.threshold
-        return F.filter(F.transform(passages(text),
+        return F.filter(F.transform(passages(clean),
                                     lambda p: F.struct(p.alias("passage"),
                                                        F.split(p, " ").alias("words"))),
                         lambda u: F.size(F.array_distinct(u["words"])) - 1 <= most)
@@ -260,14 +271,20 @@ class Templates:
             self.dice(t, pairs, b).alias("dice"), t["license"].alias("license")))
         return F.array_max(F.filter(scored, lambda s: s["dice"] >= self.threshold))
 
-    def taken(self, text: Column, words: Column) -> Column:
-        """(dice, license, first, last word) wherever the words of a matching
-        passage stand."""
+    def told(self, clean: Column) -> Column:
+        """(passage, words, best) of the passages that match."""
         def scored(u: Column) -> Column:
             return let(F.array_distinct(F.filter(pairs_of(u["words"]), lambda x: x.isNotNull())),
-                       lambda p: F.struct(u["words"].alias("words"),
+                       lambda p: F.struct(u["passage"].alias("passage"), u["words"].alias("words"),
                                           self.best(p, F.size(p)).alias("best")))
 
+        hits = F.filter(self.units(clean), lambda u: F.exists(pairs_of(u["words"]),
+                                                              lambda x: x.isin(self.known)))
+        return F.filter(F.transform(hits, scored), lambda m: m["best"].isNotNull())
+
+    def taken(self, told: Column, words: Column) -> Column:
+        """(dice, license, first, last word) wherever the words of a matching
+        passage stand."""
         def places(m: Column) -> Column:
             n = F.size(m["words"])
             at = F.filter(F.sequence(F.lit(1), F.size(words) - n + 1),
@@ -276,10 +293,7 @@ class Templates:
                 m["best"]["dice"].alias("dice"), m["best"]["license"].alias("license"),
                 i.alias("first"), (i + n - 1).alias("last")))
 
-        hits = F.filter(self.units(text), lambda u: F.exists(pairs_of(u["words"]),
-                                                             lambda x: x.isin(self.known)))
-        return F.flatten(F.transform(
-            F.filter(F.transform(hits, scored), lambda m: m["best"].isNotNull()), places))
+        return F.flatten(F.transform(told, places))
 
     def windows(self, pairs: Column, hits: Column, viable: Column) -> Column:
         """(dice, license, -first, -last word) of the best window from each
@@ -313,60 +327,87 @@ def _once(df: DataFrame, **columns: Column) -> DataFrame:
         .select(*df.columns, *[f"own.{n}" for n in columns])
 
 
-def license_passages(docs: DataFrame, known: Templates) -> DataFrame:
-    """The whole texts, paragraphs and lines that match."""
-    sizes, threshold = known.sizes, known.threshold
-    pairs = pairs_of(F.col("unit.words"))
-    units = docs.select("doc_id", F.explode(known.units(F.col("text"))).alias("unit")) \
-        .filter(F.exists(pairs, lambda x: x.isin(known.known))) \
-        .select("doc_id", "unit.passage", F.explode(F.array(F.struct(F.array_distinct(
-            F.filter(pairs, lambda x: x.isNotNull())).alias("pairs")))).alias("own")) \
-        .select("doc_id", "passage", "own.pairs", F.size("own.pairs").alias("b")) \
-        .filter(_large_enough(F.col("b"), F.lit(min(sizes)), threshold)
-                & _small_enough(F.col("b"), F.lit(max(sizes)), threshold))
-    return units.withColumn("best", known.best(F.col("pairs"), F.col("b"))) \
-        .filter("best is not null") \
-        .select("doc_id", "passage", F.col("best.license").alias("license"),
-                F.round("best.dice", 6).alias("dice"))
+def _scanned(docs: DataFrame, known: Templates) -> DataFrame:
+    """The texts that hold a telling bigram, with their words and the passages
+    that match. Bigrams of a passage are bigrams of the whole text."""
+    held = docs.select("doc_id", F.explode(F.array(normalised(F.col("text")))).alias("clean"))
+    held = _once(held, words=F.split(F.trim(on_one_line(F.col("clean"))), " ")) \
+        .filter(F.exists(pairs_of(F.col("words")), lambda x: x.isin(known.known)))
+    return _once(held, told=known.told(F.col("clean")))
 
 
-def license_windows(docs: DataFrame, known: Templates) -> DataFrame:
-    """The windows that match and are not told by a matching passage: one of
-    the same licence, or of as high a coefficient, that shares words with
-    them. Of windows that share words the best is taken (ties: the name last
-    in order, then the first)."""
-    other = "[^\\p{L}\\p{N}]*"
-    clean = F.trim(F.regexp_replace(
-        F.lower("text"), f" ?[^\\p{{L}}\\p{{N}} ]{other}| {{2,}}{other}", " "))
+def _windows(held: DataFrame, known: Templates) -> DataFrame:
+    """Add ``best``: (dice, license, -first, -last word) of the windows that
+    match and are not told by a matching passage: one of the same licence, or
+    of as high a coefficient, that shares words with them. Of windows that
+    share words the best is taken (ties: the name last in order, then the
+    first). Windows and passages are held by blocks of words, so that each is
+    compared with those near it alone."""
     words, pairs, hits = F.col("words"), F.col("pairs"), F.col("hits")
-    held = _once(docs, words=F.split(clean, " ")) \
-        .filter(F.exists(pairs_of(words), lambda x: x.isin(known.known)))
     held = _once(held, pairs=pairs_of(words))
     held = _once(held, hits=F.filter(F.sequence(F.lit(1), F.size(pairs) - 1),
                                      lambda i: F.element_at(pairs, i).isin(known.all)))
     held = _once(held, hit_pairs=F.array_distinct(F.transform(
         hits, lambda i: F.element_at(pairs, i))))
     held = _once(held, viable=F.filter(known.literal, lambda t: F.size(
-        F.array_intersect(t["grams"], F.col("hit_pairs"))) >= t["must"])) \
-        .filter(F.size("viable") > 0)
-    held = _once(held, found=known.windows(pairs, hits, F.col("viable"))) \
-        .filter(F.size("found") > 0)
-    held = _once(held, taken=known.taken(F.col("text"), words))
+        F.array_intersect(t["grams"], F.col("hit_pairs"))) >= t["must"]))
+    held = _once(held, found=known.windows(pairs, hits, F.col("viable")))
+    none = F.size("found") == 0
+    held = _once(held, taken=F.when(none, F.array()).otherwise(
+        known.taken(F.col("told"), words)))
+
+    def block(word: Column) -> Column:
+        return F.floor((word - 1) / known.block).cast("int")
+
+    n_blocks = block(F.size(words)) + 1
+
+    def kept(empty: Column) -> Column:
+        return F.array_repeat(F.slice(empty, 1, 0), n_blocks)
+
+    held = _once(held, told_at=F.aggregate("taken", kept(F.col("taken")), lambda got, m:
+                 F.aggregate(F.sequence(block(m["first"]), block(m["last"])), got,
+                             lambda g, b: put(g, b, m))))
+
+    def near(blocks: Column, first: Column, last: Column) -> Column:
+        return F.flatten(F.slice(blocks, first + 1, last - first + 1))
+
     free = F.filter("found", lambda w: ~F.exists(
-        F.col("taken"), lambda m: (m["first"] <= -w["last"]) & (m["last"] >= -w["first"])
+        near(F.col("told_at"), block(-w["first"]), block(-w["last"])),
+        lambda m: (m["first"] <= -w["last"]) & (m["last"] >= -w["first"])
         & ((m["license"] == w["license"]) | (m["dice"] >= w["dice"]))))
-    held = _once(held, ranked=F.sort_array(free, asc=False)).filter(F.size("ranked") > 0)
-    best = F.aggregate("ranked", F.slice("ranked", 1, 0), lambda got, w: F.when(
-        F.exists(got, lambda g: (g["first"] >= w["last"]) & (g["last"] <= w["first"])), got)
-        .otherwise(F.concat(got, F.array(w))))
-    rows = F.array_distinct(F.transform(best, lambda w: F.struct(
-        F.array_join(F.slice(words, -w["first"], w["first"] - w["last"] + 1), " ")
-        .alias("passage"), w["license"].alias("license"),
-        F.round(w["dice"], 6).alias("dice"))))
+    held = _once(held, ranked=F.sort_array(free, asc=False))
+    # a window stands in the block of its first word; others that share words
+    # with it begin in that block or in one beside it
+    def join(got: Column, w: Column) -> Column:
+        b = block(-w["first"])
+        met = F.exists(near(got, F.greatest(b - 1, F.lit(0)), b + 1),
+                       lambda g: (g["first"] >= w["last"]) & (g["last"] <= w["first"]))
+        return F.when(met, got).otherwise(put(got, b, w))
+
+    return _once(held, best=F.flatten(F.aggregate("ranked", kept(F.col("ranked")), join)))
+
+
+def _window_rows() -> Column:
+    """(passage, license, dice) of the best windows, equal ones once; told
+    apart as texts, which Spark hashes."""
+    rows = F.array_distinct(F.transform("best", lambda w: F.concat_ws(
+        "|", F.round(w["dice"], 6).cast("string"), w["license"],
+        F.array_join(F.slice("words", -w["first"], w["first"] - w["last"] + 1), " "))))
+    return F.transform(F.transform(rows, lambda r: F.split(r, "\\|", 3)), lambda r: F.struct(
+        F.get(r, 2).alias("passage"), F.get(r, 1).alias("license"),
+        F.get(r, 0).cast("double").alias("dice")))
+
+
+def _rows(held: DataFrame, rows: Column) -> DataFrame:
     return held.select("doc_id", F.explode(rows).alias("row")) \
         .select("doc_id", "row.passage", "row.license", "row.dice")
 
 
+def license_windows(docs: DataFrame, known: Templates) -> DataFrame:
+    """The windows that match and are not told by a matching passage."""
+    return _rows(_windows(_scanned(docs, known), known), _window_rows())
+
+
 def license_matches(docs: DataFrame, templates: list[tuple[str, str]] = ALL_TEMPLATES,
                     threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, passage, license, dice): the passages of each document that
@@ -380,7 +421,10 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]] = ALL_TEMP
     known = Templates(templates, threshold)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                       F.col("text").cast("string").alias("text"))
-    return license_passages(src, known).unionByName(license_windows(src, known))
+    told = F.transform("told", lambda m: F.struct(
+        m["passage"].alias("passage"), m["best"]["license"].alias("license"),
+        F.round(m["best"]["dice"], 6).alias("dice")))
+    return _rows(_windows(_scanned(src, known), known), F.concat(told, _window_rows()))
 
 
 def oracle(threshold: float = THRESHOLD) -> str:

@@ -119,3 +119,16 @@ def test_siblings_are_told_apart(spark):
     for r in licenses.license_matches(df).collect():
         best[r.doc_id] = max(best.get(r.doc_id, (0, "")), (r.dice, r.license))
     assert best == {i: (1.0, n) for i, (n, _) in enumerate(texts)}
+
+
+def test_many_notices_in_one_text(spark):
+    apache = " ".join(licenses.TEMPLATES[1][1].split())
+    notes = ["As was said, it is released under the MIT license by Foo {}", "Licensed under CC BY 4.0.",
+             "The words of {} licensed under the MIT license. Released under the MIT license", apache,
+             "value {} of the license, of the terms", "GNU General Public License, version {}"]
+    text = "".join(notes[i * i % 7 % 6].format(i) + " \n"[i % 5 % 2] for i in range(220))
+    known = licenses.Templates(licenses.ALL_TEMPLATES, licenses.THRESHOLD)
+    assert len(text.split()) > 3 * known.block
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = {(r.passage, r.license, r.dice) for r in licenses.license_windows(df, known).collect()}
+    assert got == brute_windows(text) and len(got) == 3
