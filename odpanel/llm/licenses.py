@@ -361,30 +361,45 @@ def _windows(held: DataFrame, known: Templates) -> DataFrame:
 
     n_blocks = block(F.size(words)) + 1
 
-    def kept(empty: Column) -> Column:
-        return F.array_repeat(F.slice(empty, 1, 0), n_blocks)
+    # blocks hold numbers of rows, as each step of a fold copies them
+    empty = F.array_repeat(F.array().cast("array<int>"), n_blocks)
 
-    held = _once(held, told_at=F.aggregate("taken", kept(F.col("taken")), lambda got, m:
-                 F.aggregate(F.sequence(block(m["first"]), block(m["last"])), got,
-                             lambda g, b: put(g, b, m))))
+    def numbers(rows: str) -> Column:
+        return F.transform(rows, lambda _, k: k + 1)
 
     def near(blocks: Column, first: Column, last: Column) -> Column:
         return F.flatten(F.slice(blocks, first + 1, last - first + 1))
 
+    def noted(got: Column, k: Column) -> Column:
+        m = F.element_at("taken", k)
+        return F.aggregate(F.sequence(block(m["first"]), block(m["last"])), got,
+                           lambda g, b: put(g, b, k))
+
+    def is_told(w: Column, k: Column) -> Column:
+        m = F.element_at("taken", k)
+        return (m["first"] <= -w["last"]) & (m["last"] >= -w["first"]) \
+            & ((m["license"] == w["license"]) | (m["dice"] >= w["dice"]))
+
+    held = _once(held, told_at=F.aggregate(numbers("taken"), empty, noted))
     free = F.filter("found", lambda w: ~F.exists(
-        near(F.col("told_at"), block(-w["first"]), block(-w["last"])),
-        lambda m: (m["first"] <= -w["last"]) & (m["last"] >= -w["first"])
-        & ((m["license"] == w["license"]) | (m["dice"] >= w["dice"]))))
+        near(F.col("told_at"), block(-w["first"]), block(-w["last"])), lambda k: is_told(w, k)))
     held = _once(held, ranked=F.sort_array(free, asc=False))
+
     # a window stands in the block of its first word; others that share words
     # with it begin in that block or in one beside it
-    def join(got: Column, w: Column) -> Column:
+    def join(got: Column, k: Column) -> Column:
+        w = F.element_at("ranked", k)
         b = block(-w["first"])
-        met = F.exists(near(got, F.greatest(b - 1, F.lit(0)), b + 1),
-                       lambda g: (g["first"] >= w["last"]) & (g["last"] <= w["first"]))
-        return F.when(met, got).otherwise(put(got, b, w))
 
-    return _once(held, best=F.flatten(F.aggregate("ranked", kept(F.col("ranked")), join)))
+        def meets(i: Column) -> Column:
+            g = F.element_at("ranked", i)
+            return (g["first"] >= w["last"]) & (g["last"] <= w["first"])
+
+        met = F.exists(near(got, F.greatest(b - 1, F.lit(0)), b + 1), meets)
+        return F.when(met, got).otherwise(put(got, b, k))
+
+    best = F.flatten(F.aggregate(numbers("ranked"), empty, join))
+    return _once(held, best=F.transform(best, lambda k: F.element_at("ranked", k)))
 
 
 def _window_rows() -> Column:
