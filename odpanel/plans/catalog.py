@@ -25,6 +25,7 @@ from odpanel.session import shared_dir
 from odpanel.sources import files, records, stores
 from odpanel.sources import grid as GS
 from odpanel.sources.tables import read_table
+from odpanel.sources.text_cells import line_cells, text_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -503,6 +504,39 @@ def q_block_extract(spark, d):
                          metrics)
 
 
+# ---- grids and records of the given texts ---------------------------------------------
+@query("document_cells")
+def q_document_cells(spark, d):
+    """The documents as grids, words and table cells being columns: rows,
+    cells, widest row, numeric cells and the largest value of each."""
+    cells = line_cells(read_table(spark, d.sf_dir, "documents", ["doc_id", "source", "text"]),
+                       "doc_id", "source", "text", "[| ]+")
+    return G.cell_values(cells).groupBy("file", "sheet").agg(
+        (F.max("row") + 1).alias("n_rows"), F.count(F.lit(1)).alias("n_cells"),
+        (F.max("col") + 1).alias("n_cols"), F.count("value").alias("n_values"),
+        F.max("value").alias("max_value"))
+
+
+@query("document_blocks")
+def q_document_blocks(spark, d):
+    """Block headers in the documents: the lines that stand right above a line
+    which names a license. Documents without id or source are not joined."""
+    cells = line_cells(read_table(spark, d.sf_dir, "documents", ["doc_id", "source", "text"]),
+                       "doc_id", "source", "text")
+    return G.find_blocks(cells, 0, "License")
+
+
+_LINE_FIELDS = {"vehicle_type": 1, "km_anual": 2, "pct_carga": 5, "horas_anuales": 9, "period": 12}
+
+
+@query("document_records")
+def q_document_records(spark, d):
+    """The documents as fixed-line records of 12 lines or more: how many are
+    short, and how many numeric and date fields do not parse."""
+    docs = read_table(spark, d.sf_dir, "documents", ["doc_id", "text"])
+    return record_quality(text_records(docs, "doc_id", "text"), _LINE_FIELDS, 12)
+
+
 # ---- scans and summaries that no single key or value count bounds -------------------
 @query("carry_forward")
 def q_carry_forward(spark, d):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from odpanel.functions import REGION_PREFIXES
 from odpanel.plans.oracle import sql
 
 ORACLE: dict[str, str] = {}
@@ -280,6 +281,53 @@ ORACLE["describe_table"] = f"""
   FROM (DESCRIBE ({sql("SELECT * FROM corridors")}))"""
 
 # ---- scans and summaries ------------------------------------------------------------
+# ---- grids and records of the given texts ---------------------------------------------
+def _trimmed(x: str) -> str:
+    return f"regexp_replace({x}, '^[\\x01-\\x20]+|[\\x01-\\x20]+$', '', 'g')"
+
+
+_LINES = """l AS (SELECT rid, CAST(doc_id AS VARCHAR) AS file, source AS sheet,
+           CAST(unnest(range(len(ls))) AS INTEGER) AS row, unnest(ls) AS line
+         FROM (SELECT row_number() OVER () AS rid, doc_id, source,
+                      string_split(text, chr(10)) AS ls FROM documents))"""
+ORACLE["document_cells"] = f"""
+  WITH {_LINES},
+  p AS (SELECT file, sheet, row, CAST(unnest(range(len(ps))) AS INTEGER) AS col,
+               unnest(ps) AS part
+        FROM (SELECT *, regexp_split_to_array(line, '[| ]+') AS ps FROM l)),
+  c AS (SELECT file, sheet, row, col, {_trimmed("part")} AS text FROM p),
+  v AS (SELECT *, CASE WHEN text NOT IN ('..', '.', '-') THEN TRY_CAST(text AS DOUBLE) END
+               AS value FROM c WHERE text <> '')
+  SELECT file, sheet, max(row) + 1 AS n_rows, count(*) AS n_cells, max(col) + 1 AS n_cols,
+         count(value) AS n_values, round(max(value), 6) AS max_value
+  FROM v GROUP BY file, sheet"""
+_RULES = " ".join(f"WHEN starts_with(label, '{p}') THEN '{c}'" for p, c in sorted(
+    REGION_PREFIXES.items(), key=lambda r: -len(r[0])))
+ORACLE["document_blocks"] = f"""
+  WITH {_LINES},
+  t AS (SELECT file, sheet, row, {_trimmed("line")} AS label FROM l)
+  SELECT t.file, t.sheet, t.row, CASE WHEN label = 'TOTAL' THEN NULL {_RULES} ELSE label END
+         AS region
+  FROM t JOIN (SELECT file, sheet, row - 1 AS row FROM t WHERE label LIKE '%License%') n
+    USING (file, sheet, row)
+  WHERE label <> '' AND NOT starts_with(label, '(') AND NOT starts_with(label, 'Fuente')"""
+_LIT = "CASE WHEN s LIKE '\"%\"' OR s LIKE '#%#' THEN s[2:-2] ELSE s END"
+
+
+def _bad_line(i: int, kind: str) -> str:
+    return (f"CAST(len(ls) >= {i} AND TRY_CAST(list_transform([{_trimmed(f'ls[{i}]')}], "
+            f"lambda s: {_LIT})[1] AS {kind}) IS NULL AS INTEGER)")
+
+
+ORACLE["document_records"] = f"""
+  WITH r AS (SELECT CASE WHEN ls[-1] = '' THEN ls[:-2] ELSE ls END AS ls
+             FROM (SELECT regexp_split_to_array(coalesce(text, ''), '\\r\\n|\\n|\\r') AS ls
+                   FROM documents))
+  SELECT count(*) AS files, count(*) FILTER (len(ls) < 12) AS short_records,
+         CAST(coalesce(sum(CASE WHEN len(ls) >= 12 THEN {_bad_line(2, "DOUBLE")}
+           + {_bad_line(5, "DOUBLE")} + {_bad_line(9, "DOUBLE")} + {_bad_line(12, "DATE")}
+           ELSE 0 END), 0) AS BIGINT) AS bad_fields
+  FROM r"""
 ORACLE["carry_forward"] = """
   SELECT event_id, user_id, round(last_value(CASE WHEN event_type = 'purchase' THEN value END
            IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id
