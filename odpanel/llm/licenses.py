@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+ROUNDING = 1e-9  # slack of the size bounds, as 6 * 1.2 is below 7.2 in doubles
 
 # Texts of public licences and of their usual notices.
 TEMPLATES: list[tuple[str, str]] = [
@@ -169,17 +170,17 @@ def template_grams(templates: list[tuple[str, str]] = TEMPLATES
 def _large_enough(b: Column, n: Column, threshold: float) -> Column:
     """A passage of b bigrams is not too small for a template of n: with
     shared <= b, 2 * shared >= threshold * (b + n) can hold."""
-    return n * F.lit(threshold) <= b * F.lit(2 - threshold)
+    return n * F.lit(threshold) <= b * F.lit(2 - threshold) + F.lit(ROUNDING)
 
 
 def _small_enough(b: Column, n: Column, threshold: float) -> Column:
     """The same with shared <= n."""
-    return b * F.lit(threshold) <= n * F.lit(2 - threshold)
+    return b * F.lit(threshold) <= n * F.lit(2 - threshold) + F.lit(ROUNDING)
 
 
 def least_shared(n: int, threshold: float) -> int:
     """Bigrams that any match shares with a template of n."""
-    return math.ceil(threshold * n / (2 - threshold) - 1e-9)
+    return math.ceil(threshold * n / (2 - threshold) - ROUNDING)
 
 
 def telling(grams: list[tuple[str, list[str]]], threshold: float) -> list[str]:
@@ -238,7 +239,7 @@ class Templates:
         grams = template_grams(templates)
         self.threshold = threshold
         # the positions of a template's bigrams, repeated ones as well, bound its windows
-        most = [int(len(word_pairs(t)) * (2 - threshold) / threshold + 1e-9)
+        most = [int(len(word_pairs(t)) * (2 - threshold) / threshold + ROUNDING)
                 for _, t in template_texts(templates)]
         self.literal = F.array(*[
             F.struct(F.lit(name).alias("license"), F.lit(len(g)).alias("n"),
@@ -258,7 +259,7 @@ class Templates:
         return F.filter(F.transform(passages(clean),
                                     lambda p: F.struct(p.alias("passage"),
                                                        F.split(p, " ").alias("words"))),
-                        lambda u: F.size(F.array_distinct(u["words"])) - 1 <= most)
+                        lambda u: F.size(F.array_distinct(u["words"])) - 1 <= most + ROUNDING)
 
     def dice(self, t: Column, pairs: Column, b: Column) -> Column:
         return F.lit(2.0) * F.size(F.array_intersect(t["grams"], pairs)) / (t["n"] + b)
@@ -443,10 +444,10 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]] = ALL_TEMP
 
 
 def oracle(threshold: float = THRESHOLD) -> str:
-    """DuckDB SQL for ``license_matches`` over documents."""
+    """DuckDB SQL for ``license_matches`` over documents, windows apart."""
     rows = ", ".join("({}, {}, '{}', [{}])".format(
         k, len(g), name, ", ".join(f"'{x}'" for x in g))
-        for k, (name, g) in enumerate(template_grams()))
+        for k, (name, g) in enumerate(template_grams(ALL_TEMPLATES)))
     return f"""
     WITH t(tid, n, license, grams) AS (VALUES {rows}),
     c AS (SELECT row_number() OVER () AS rid, doc_id,

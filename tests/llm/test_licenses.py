@@ -1,5 +1,7 @@
 import re
 
+import duckdb
+
 from odpanel.llm import licenses
 
 
@@ -132,3 +134,18 @@ def test_many_notices_in_one_text(spark):
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     got = {(r.passage, r.license, r.dice) for r in licenses.license_windows(df, known).collect()}
     assert got == brute_windows(text) and len(got) == 3
+
+
+def test_sql_tells_the_passages_of_all_templates(spark, tmp_path):
+    texts = [f"words before it\n{' '.join(t.split())}\n\nand after it" for _, t in
+             licenses.ALL_TEMPLATES] + [None, "", "a line", "Licensed under CC BY 4.0"]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string") \
+        .coalesce(1).write.parquet(path)
+    known = licenses.Templates(licenses.ALL_TEMPLATES, licenses.THRESHOLD)
+    docs = spark.read.parquet(path)
+    windows = {tuple(r) for r in licenses.license_windows(docs, known).collect()}
+    got = {tuple(r) for r in licenses.license_matches(docs).collect()} - windows
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    assert got == set(con.execute(licenses.oracle()).fetchall()) and len(got) > len(texts) - 5
